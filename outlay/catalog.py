@@ -36,7 +36,7 @@ from outlay.session import new_work_path
 from outlay.sources import raw, windows
 from outlay.sources.documents import write_json_product
 from outlay.sources.landing import ingest_records, read_jsonl, write_landing
-from outlay.sources.marts import TableFolder
+from outlay.sources.marts import MARTS, TableFolder
 from outlay.standin import (
     AS_OF,
     INDIVIDUAL_PATTERN,
@@ -257,6 +257,13 @@ def dash_kpis_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.dashboard_kpis(marts["fct_convenios"], marts["dim_municipio"], regiao=None, uf=None)
 
 
+@query
+def dash_kpis_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named markers: two unset, one set."""
+    marts = Marts.of(spark, sf_dir)
+    return dashboard.sql_dashboard_kpis(spark, marts["fct_convenios"], marts["dim_municipio"], uf=STATE)
+
+
 @query
 def dash_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = Marts.of(spark, sf_dir)
@@ -500,7 +507,7 @@ def load_empty_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty extract clears exactly its own window."""
     path, plan, _ = _loaded_events(spark, sf_dir)
     start, end = plan[-1]
-    nothing = _event_documents(_event_days(spark, sf_dir).where("event_id < 0"))
+    nothing = _event_documents(_event_days(spark, sf_dir).where(F.lit(False)))
     raw.load_window(nothing, path, start, end, "2024-02-02 00:00:00")
     return _raw_events(spark, path).select("event_id", "janela_inicio", "janela_fim")
 
@@ -513,7 +520,7 @@ def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_window = _event_days(spark, sf_dir).where(F.col("dia").between(F.lit(start), F.lit(end)))
     again = _event_documents(in_window.where("event_type <> 'error'"))
     reports.append(raw.load_window(again, path, start, end, "2024-02-02 00:00:00"))
-    nothing = _event_documents(in_window.where("event_id < 0"))
+    nothing = _event_documents(in_window.where(F.lit(False)))
     reports.append(raw.load_window(nothing, path, start, end, "2024-02-03 00:00:00"))
     return raw.load_report(spark, *reports).select(
         F.col("table").alias("tabela"), F.col("removed").alias("removidas"), F.col("inserted").alias("inseridas"),
@@ -553,7 +560,7 @@ def load_snapshot_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_path(spark, "raw")
     documents = _item_documents(spark, sf_dir)
     raw.load_snapshot(documents.select("dado"), path, "2001-08-01 00:00:00")
-    raw.load_snapshot(documents.where("ano < 0").select("dado"), path, "2001-08-02 00:00:00")
+    raw.load_snapshot(documents.where(F.lit(False)).select("dado"), path, "2001-08-02 00:00:00")
     return _year_totals(raw.read_raw_amendments(spark, path))
 
 
@@ -597,7 +604,7 @@ def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All contract tests on the marts."""
     marts = Marts.of(spark, sf_dir)
-    return run_tests({test.table: marts[test.table] for test in CONTRACT}, CONTRACT)
+    return run_tests({name: marts[name] for name in MARTS}, CONTRACT)
 
 
 @query
@@ -611,7 +618,8 @@ def quality_report_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         DataTest("non_negative", "customer", "c_acctbal"),
         DataTest("not_null", "customer", "c_name"),
     ]
-    return run_tests({test.table: table(spark, sf_dir, test.table) for test in tests}, tests)
+    names = dict.fromkeys(test.table for test in tests)
+    return run_tests({name: table(spark, sf_dir, name) for name in names}, tests)
 
 
 # --- interval runs ------------------------------------------------------------

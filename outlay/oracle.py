@@ -394,6 +394,10 @@ from fct join geo on fct.sk_municipio = geo.sk_municipio where nome_regiao = 'AS
 select {_sum("valor")} as valor_total, {_sum("valor_liberado")} as valor_liberado,
     count(*) as numero_convenios, count(distinct fct.sk_municipio) as numero_municipios
 from fct join geo on fct.sk_municipio = geo.sk_municipio""",
+    "dash_kpis_sql": f"""{STAR}
+select {_sum("valor")} as valor_total, {_sum("valor_liberado")} as valor_liberado,
+    count(*) as numero_convenios, count(distinct fct.sk_municipio) as numero_municipios
+from fct join geo on fct.sk_municipio = geo.sk_municipio where uf_nome = 'NATION_7'""",
     "dash_ranking": f"""{STAR}
 select nome_orgao_superior as orgao, {_sum("valor")} as valor_total, cast(count(*) as bigint) as numero_convenios
 from fct join agency on fct.sk_orgao_superior = agency.sk_orgao_superior

@@ -73,22 +73,26 @@ RAW_AMENDMENTS = T.StructType(
 
 
 def document_schema(fields) -> T.StructType:
-    """The nested document with every leaf as text.
+    """The nested document, to be parsed in ``FAILFAST`` mode.
 
-    Text leaves make a malformed number or date fail in the later cast instead
-    of turning into a silent null while parsing.
+    Leaves are text, so a malformed id or date fails in the later cast. Money
+    numbers are read as decimals at once: as text they would pass through a
+    double and lose cents above 15 digits.
     """
     tree: dict = {}
-    for path, _, _ in fields:
+    for path, _, kind in fields:
         node = tree
         *parents, leaf = path.split(".")
         for parent in parents:
             node = node.setdefault(parent, {})
-        node[leaf] = None
+        node[leaf] = T.DecimalType(18, 2) if kind == MONEY else T.StringType()
 
     def struct(node: dict) -> T.StructType:
         return T.StructType(
-            [T.StructField(name, struct(child) if child else T.StringType()) for name, child in node.items()]
+            [
+                T.StructField(name, struct(child) if isinstance(child, dict) else child)
+                for name, child in node.items()
+            ]
         )
 
     return struct(tree)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -53,3 +58,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def run_together(jobs: list[Callable[[], Result]], at_once: int = 4) -> list[Result]:
+    """Run independent Spark jobs side by side, so one fills the tail of another.
+
+    All jobs end before the first error, if any, is raised.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [job.result() for job in running]

@@ -31,7 +31,13 @@ class TableFolder:
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
         rows.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+        # The schema is known here, so reading back needs no footer job.
+        return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
+
+    def register_views(self, names: tuple[str, ...] = MARTS) -> None:
+        """Make the tables visible to ``spark.sql`` under their own names."""
+        for name in names:
+            self.read(name).createOrReplaceTempView(name)

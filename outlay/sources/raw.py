@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import astuple, dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,13 +35,10 @@ def load_report(spark: SparkSession, *reports: LoadReport) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A raw table; one that was never loaded reads as empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    """A raw table; one that was never loaded is created empty first."""
+    keys = [field.name for field in schema.fields if field.name not in ("dado", "carregado_em")]
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*keys).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_raw_agreements(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +49,7 @@ def read_raw_amendments(spark: SparkSession, path: str) -> DataFrame:
     return read_raw(spark, path, RAW_AMENDMENTS)
 
 
-def _replace_partitions(rows: DataFrame, path: str, keys: tuple[str, ...]) -> None:
+def replace_partitions(rows: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
@@ -78,7 +74,7 @@ def load_window(
         F.lit(str(start)).cast("date").alias("janela_inicio"),
         F.lit(str(end)).cast("date").alias("janela_fim"),
     )
-    _replace_partitions(rows, path, WINDOW_KEYS)
+    replace_partitions(rows, path, WINDOW_KEYS)
     inserted = seen.get["rows"]
     if inserted == 0:
         # Dynamic overwrite leaves a partition it got no rows for: clear it by name.
@@ -111,20 +107,23 @@ def load_snapshot(
                 F.col("ano_snapshot")
             ),
         )
-    # The years are few, and counting them before the write is what makes the
-    # report of removed rows possible: after it the old rows are gone.
-    years = dated.where("ano_snapshot is not null").select("ano_snapshot").distinct()
-    removed = read_raw_amendments(spark, path).join(years, "ano_snapshot", "left_semi").count()
+    # One row per year; after the write the replaced rows can no longer be counted.
+    before = read_raw_amendments(spark, path).groupBy("ano_snapshot").count().collect()
     seen = Observation("snapshot")
     observed = dated.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count("ano_snapshot").alias("dated"),
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count("ano_snapshot").alias("dated"),
+        F.collect_set("ano_snapshot").alias("years"),
     )
-    _replace_partitions(observed.where("ano_snapshot is not null"), path, ("ano_snapshot",))
+    replace_partitions(observed.where("ano_snapshot is not null"), path, ("ano_snapshot",))
+    replaced = set(seen.get["years"])
+    removed = sum(row["count"] for row in before if row["ano_snapshot"] in replaced)
     inserted = seen.get["dated"]
     undated = seen.get["rows"] - inserted
     if undated:
         lost = dated.where("ano_snapshot is null").select("dado", "carregado_em")
-        _replace_partitions(lost, quarantine_path, ("carregado_em",))
+        replace_partitions(lost, quarantine_path, ("carregado_em",))
     warning = "no amendment in this extract" if inserted == 0 else None
     return LoadReport("emendas", removed, inserted, undated, warning)
 

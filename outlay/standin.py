@@ -21,8 +21,15 @@ AS_OF = "2001-08-01"
 INDIVIDUAL_PATTERN = "%standard%"
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A provided table; its files are listed and its schema read once per session."""
+    key = (spark.sparkContext.applicationId, str(sf_dir), name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _tables[key]
 
 
 def _money(column: Column | str) -> Column:

@@ -1,0 +1,79 @@
+import glob
+import json
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from fixtures import agreement, amendment, lines
+from pyspark.sql import functions as F
+
+from outlay.config import Config
+from outlay.operators.quality import DataTestFailure
+from outlay.plans.pipeline import product_tables, run_interval
+from outlay.sources.landing import landing_path
+from outlay.sources.marts import TableFolder
+from outlay.sources.raw import read_raw_agreements, read_raw_amendments
+
+DAY = date(2026, 7, 20)
+
+
+def land(spark, base, day, records):
+    frame = spark.createDataFrame([(line,) for line in lines(records)], "value string")
+    frame.write.mode("overwrite").text(landing_path(base, day))
+
+
+def published(config, name):
+    parts = sorted(glob.glob(f"{config.products}/{name}.json/part-*"))
+    return json.loads("".join(open(part, encoding="utf-8").read() for part in parts))
+
+
+def test_interval_runs(spark, folder):
+    config = Config(DAY, folder)
+    before = DAY - timedelta(days=1)
+    land(spark, config.landing_agreements, before, [agreement(1), agreement(2)])
+    land(spark, config.landing_agreements, DAY, [agreement(2, valor=500.0), agreement(3)])
+    land(spark, config.landing_amendments, DAY, [amendment("a"), amendment("b", ano=2025), amendment("x", ano=None)])
+
+    old = run_interval(spark, config, "2026-07-19 06:00:00", interval_end=before, is_latest=False)
+    assert [(r.table, r.inserted) for r in old] == [("convenios", 2)]
+    assert not glob.glob(f"{config.products}/*"), "a backfill run publishes nothing"
+    assert TableFolder(spark, config.marts).read("fct_convenios").count() == 2
+
+    new = run_interval(spark, config, "2026-07-20 06:00:00")
+    assert [(r.table, r.removed, r.inserted, r.quarantined) for r in new] == [
+        ("convenios", 0, 2, 0),
+        ("emendas", 0, 2, 1),
+    ]
+    assert read_raw_agreements(spark, config.raw_agreements).count() == 4
+    assert published(config, "kpis")["total_valor"] == 700.0
+    assert published(config, "kpis")["gerado_em"] == "2026-07-20 06:00:00"
+    assert [r["ano"] for r in published(config, "emendas_por_ano")] == [2024, 2025]
+    assert len(glob.glob(f"{config.products}/*.json")) == 7
+
+    raw_before = sorted(read_raw_agreements(spark, config.raw_agreements).collect())
+    again = run_interval(spark, config, "2026-07-20 06:00:00")
+    assert [(r.removed, r.inserted) for r in again] == [(2, 2), (2, 2)]
+    assert sorted(read_raw_agreements(spark, config.raw_agreements).collect()) == raw_before
+    assert read_raw_amendments(spark, config.raw_amendments).count() == 2
+    assert product_tables(TableFolder(spark, config.marts))["kpis"].collect()[0]["total_valor"] == Decimal("700.00")
+
+
+def test_failing_contract_stops_publication(spark, folder):
+    config = Config(DAY, folder)
+    land(spark, config.landing_agreements, DAY, [agreement(1, valor=-1.0)])
+    land(spark, config.landing_amendments, DAY, [amendment("a")])
+    with pytest.raises(DataTestFailure, match="non_negative_fct_convenios_valor: 1"):
+        run_interval(spark, config, "2026-07-20 06:00:00")
+    assert not glob.glob(f"{config.products}/*")
+
+
+def test_views_for_sql_users(spark, folder):
+    config = Config(DAY, folder)
+    land(spark, config.landing_agreements, DAY, [agreement(1)])
+    land(spark, config.landing_amendments, DAY, [amendment("a")])
+    run_interval(spark, config, "2026-07-20 06:00:00")
+    TableFolder(spark, config.marts).register_views()
+    row = spark.sql(
+        "select m.nome_municipio, sum(f.valor) v from fct_convenios f join dim_municipio m using (sk_municipio) group by 1"
+    ).collect()
+    assert [tuple(r) for r in row] == [("AQUIDAUANA", Decimal("100.00"))]
