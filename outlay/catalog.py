@@ -32,7 +32,7 @@ from outlay.plans import dashboard, products, staging
 from outlay.plans.contract import CONTRACT
 from outlay.plans.pipeline import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
-from outlay.session import new_work_path
+from outlay.session import new_work_path, spread
 from outlay.sources import raw, windows
 from outlay.sources.documents import write_json_product
 from outlay.sources.landing import ingest_records, read_jsonl, write_landing
@@ -529,7 +529,7 @@ def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _item_documents(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     price = (F.col("l_extendedprice").cast(MONEY) * factor).cast(MONEY)
     return items.select(
         F.to_json(F.struct(F.year("l_shipdate").alias("ano"), price.alias("valor"))).alias("dado"),

@@ -13,19 +13,23 @@ from outlay.operators.versions import latest_version
 from outlay.schemas import AGREEMENT_FIELDS, AMENDMENT_FIELDS, document_schema
 
 
-def flatten(fields, root: str | None = None) -> list[Column]:
+def flatten(fields) -> list[Column]:
     """The flat, renamed and typed columns of a nested document."""
-    prefix = f"{root}." if root else ""
     return [
-        (brl_decimal(F.col(prefix + path)) if kind == "brl" else F.col(prefix + path).cast(kind)).alias(name)
+        (brl_decimal(F.col(path)) if kind == "brl" else F.col(path).cast(kind)).alias(name)
         for path, name, kind in fields
     ]
 
 
 def parse_documents(raw: DataFrame, fields, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Parse ``dado`` once and flatten it; ``keep`` lists raw columns to carry along."""
-    document = F.from_json("dado", document_schema(fields), {"mode": "FAILFAST"}).alias("doc")
-    return raw.select(document, *keep).select(*flatten(fields, "doc"), *keep)
+    """Parse ``dado`` once and flatten it; ``keep`` lists raw columns to carry along.
+
+    The parse is a generator of one row. Filters on parsed columns stay above a
+    generator; through a plain projection they would be pushed down together
+    with a copy of the whole parse for every column they mention.
+    """
+    document = F.from_json("dado", document_schema(fields), {"mode": "FAILFAST"})
+    return raw.select(F.inline(F.array(document)), *keep).select(*flatten(fields), *keep)
 
 
 def current_agreements(typed: DataFrame, as_of: date | str, keep_years: int = 3) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Result = TypeVar("Result")
 
@@ -60,6 +60,16 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give heavy per-row work all cores when the input has fewer splits than cores.
+
+    Such an input is read and exchanged in a single wave of tasks; a larger one
+    is returned as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def run_together(jobs: list[Callable[[], Result]], at_once: int = 4) -> list[Result]:
     """Run independent Spark jobs side by side, so one fills the tail of another.
 

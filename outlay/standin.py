@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from outlay.plans import dimensions, facts, staging
 from outlay.schemas import AGREEMENT_FIELDS, AMENDMENT_FIELDS, MONEY
-from outlay.session import new_work_path
+from outlay.session import new_work_path, spread
 from outlay.sources.marts import TableFolder
 
 # Fixed values of the stand-in: the day the run is for, and what marks a single author.
@@ -43,7 +43,7 @@ def typed_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     day = F.col("o_orderdate").cast("date")
     value = _money("o_totalprice")
     released = F.when(F.col("o_orderstatus") == "F", value).otherwise(F.lit(0).cast(MONEY))
@@ -81,7 +81,7 @@ def typed_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as amendments; discounts are what was not paid, returns what was cancelled."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     price = _money("l_extendedprice")
