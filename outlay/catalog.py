@@ -314,6 +314,16 @@ def geo_options_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.municipality_options(Marts.of(spark, sf_dir)["dim_municipio"], STATE_CODE)
 
 
+@query
+def geo_names_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.state_names(Marts.of(spark, sf_dir)["dim_municipio"], REGION)
+
+
+@query
+def geo_names_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.municipality_names(Marts.of(spark, sf_dir)["dim_municipio"], REGION, STATE)
+
+
 @query
 def top15_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.top_agencies(ranking_agencies(spark, sf_dir))
@@ -339,6 +349,34 @@ def authors_sorted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.authors_table(ranking_authors(spark, sf_dir), only_individual=False, sort="nome")
 
 
+@query
+def kpi_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts = Marts.of(spark, sf_dir)
+    return dashboard.kpi_texts(products.kpis(marts["fct_convenios"], marts["dim_orgao_superior"]))
+
+
+@query
+def kpi_texts_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts = Marts.of(spark, sf_dir)
+    nothing = marts["fct_convenios"].where("valor < 0")
+    return dashboard.kpi_texts(products.kpis(nothing, marts["dim_orgao_superior"]))
+
+
+@query
+def kpi_amendment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.kpi_emendas_texts(kpis_amendments(spark, sf_dir))
+
+
+@query
+def series_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.serie_texts(monthly_series(spark, sf_dir))
+
+
+@query
+def authors_table_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.authors_table_texts(authors_sorted(spark, sf_dir))
+
+
 # --- display text -------------------------------------------------------------
 
 

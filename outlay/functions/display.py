@@ -14,6 +14,10 @@ MONTH_NAMES = (
     "julho", "agosto", "setembro", "outubro", "novembro", "dezembro",
 )
 NBSP = "\u00a0"
+YEAR_SENTENCE = "**%d**: %s, ano %d do mandato federal"
+YEAR_SEPARATOR = " · "
+NOTE_PART = ("Mostrando os ", " maiores de ", " no filtro atual.")
+NOTE_ALL = ("Mostrando ", " no filtro atual.")
 
 
 def _br_separators(number_text: Column) -> Column:
@@ -39,14 +43,14 @@ def compact_currency(value: Column) -> Column:
 
     The scale is chosen after rounding, so 999 950 reads as one million.
     """
-    amount = F.coalesce(value.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)"))
+    amount = F.coalesce(value.cast("decimal(30,2)"), F.lit(0).cast("decimal(30,2)"))
     size = F.abs(amount)
 
     def shown(power: int) -> Column:
         # Rounded exactly as a decimal, then scaled: one digit always fits.
         scaled = F.round(size, 1 - power).cast("double") / F.lit(float(10**power))
         return F.replace(
-            F.regexp_replace(scaled.cast("decimal(20,1)").cast("string"), r"\.0$", ""), F.lit("."), F.lit(",")
+            F.regexp_replace(scaled.cast("decimal(30,1)").cast("string"), r"\.0$", ""), F.lit("."), F.lit(",")
         )
 
     text = (
@@ -61,7 +65,7 @@ def compact_currency(value: Column) -> Column:
 
 def full_currency(value: Column) -> Column:
     """Whole-real money text: ``R$ 1.234.568``."""
-    amount = F.round(F.coalesce(value.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)")), 0)
+    amount = F.round(F.coalesce(value.cast("decimal(30,2)"), F.lit(0).cast("decimal(30,2)")), 0)
     digits = _br_separators(F.format_number(F.abs(amount), 0))
     # A negative amount that rounds to zero keeps its sign in the source format.
     negative = F.coalesce(value, F.lit(0)) < 0
@@ -74,7 +78,8 @@ def integer_text(value: Column) -> Column:
 
 def percent_text(ratio: Column) -> Column:
     """Whole percent, ``—`` when the ratio is undefined."""
-    whole = F.round(ratio.cast("double") * 100, 0).cast("bigint")
+    # Rounded before scaling: 0.285 * 100 is a little below 28.5 as a double.
+    whole = F.round(F.round(ratio.cast("double"), 2) * 100, 0).cast("bigint")
     return F.when(ratio.isNull(), MISSING).otherwise(F.concat(_br_separators(F.format_number(whole, 0)), F.lit("%")))
 
 
@@ -84,6 +89,11 @@ def month_name(day: Column) -> Column:
     return F.concat(F.element_at(names, F.month(day)), F.lit(" de "), F.date_format(day, "yyyy"))
 
 
+def month_text(label: Column) -> Column:
+    """The month name of a ``YYYY-MM`` label."""
+    return month_name(F.to_date(label, "yyyy-MM"))
+
+
 def short_label(acronym: Column, name: Column) -> Column:
     """The acronym, or the name where the acronym is null or empty."""
     return F.coalesce(F.nullif(acronym, F.lit("")), name)
@@ -105,10 +115,11 @@ def election_label(election: Column) -> Column:
 
 def showing_note(shown: Column, found: Column, noun: str, noun_plural: str) -> Column:
     """Which part of the filtered rows a chart shows."""
-    return F.when(
-        found > shown,
-        F.concat(
-            F.lit("Mostrando os "), integer_text(shown), F.lit(" maiores de "), integer_text(found),
-            F.lit(f" {noun_plural} no filtro atual."),
-        ),
-    ).otherwise(F.concat(F.lit("Mostrando "), integer_text(found), F.lit(f" {noun} no filtro atual.")))
+    begin, middle, end = NOTE_PART
+    part = F.concat(
+        F.lit(begin), integer_text(shown), F.lit(middle), integer_text(found), F.lit(f" {noun_plural}{end}")
+    )
+    begin, end = NOTE_ALL
+    return F.when(found > shown, part).otherwise(
+        F.concat(F.lit(begin), integer_text(found), F.lit(f" {noun}{end}"))
+    )

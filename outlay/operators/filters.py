@@ -16,6 +16,16 @@ def optional_equals(rows: DataFrame, wanted: Mapping[str, str | None]) -> DataFr
     return rows
 
 
-def options(rows: DataFrame, columns: list[str], wanted: Mapping[str, str | None] | None = None) -> DataFrame:
-    """Distinct values of ``columns`` that are compatible with the chosen parents."""
-    return optional_equals(rows, wanted or {}).select(*columns).distinct().orderBy(*columns)
+def options(
+    rows: DataFrame,
+    columns: list[str],
+    wanted: Mapping[str, str | None] | None = None,
+    collation: str | None = None,
+) -> DataFrame:
+    """Distinct values of ``columns`` that are compatible with the chosen parents.
+
+    ``collation`` orders the first column by the rules of a language, else bytes decide.
+    """
+    found = optional_equals(rows, wanted or {}).select(*columns).distinct()
+    first = F.collate(F.col(columns[0]), collation) if collation else F.col(columns[0])
+    return found.orderBy(first, *columns)

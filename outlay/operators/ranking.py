@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,17 +22,19 @@ def user_order(
     column: str,
     direction: str | None,
     text_columns: Collection[str],
-    tiebreak: Sequence[str],
+    then: Sequence[Column],
     collation: str = "pt",
 ) -> DataFrame:
-    """Sort by the chosen column; text ascends and numbers descend by default."""
+    """Sort by the chosen column; text ascends and numbers descend by default.
+
+    Rows that tie keep the order given by ``then``.
+    """
     is_text = column in text_columns
     direction = direction or ("asc" if is_text else "desc")
     if direction not in ("asc", "desc"):
         raise ValueError(f"direction must be asc or desc, not {direction!r}")
     key = F.collate(F.col(column), collation) if is_text else F.col(column)
-    first = key.asc_nulls_last() if direction == "asc" else key.desc_nulls_last()
-    return rows.orderBy(first, *[F.col(name).asc_nulls_last() for name in tiebreak])
+    return rows.orderBy(key.asc_nulls_last() if direction == "asc" else key.desc_nulls_last(), *then)
 
 
 def with_found_count(shown: DataFrame, found: DataFrame, column: str) -> DataFrame:

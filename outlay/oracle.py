@@ -331,6 +331,42 @@ with items as (
 select ano_snapshot, count(*) as registros, cast(sum({value}) as decimal(38, 2)) as valor
 from items group by ano_snapshot"""
 
+def _full(value: str) -> str:
+    digits = f"translate(format('{{:,.0f}}', cast(round(abs(coalesce({value}, 0)), 0) as double)), ',', '.')"
+    return f"(case when {value} < 0 then '-' else '' end) || 'R$' || chr(160) || {digits}"
+
+
+def _thousands(value: str) -> str:
+    return f"translate(format('{{:,}}', {value}), ',', '.')"
+
+
+def _percent(value: str) -> str:
+    return (
+        f"case when {value} is null then '—' else cast(cast(round(round({value}, 2) * 100) as int) as varchar) "
+        "|| '%' end"
+    )
+
+
+def _month_name(label: str) -> str:
+    return f"{_MONTHS}[cast(substring({label}, 6, 2) as int)] || ' de ' || substring({label}, 1, 4)"
+
+
+def _kpi_texts(where: str) -> str:
+    return f"""with k as ({_kpis(where)})
+select {_compact("coalesce(total_valor, 0)")} as total, {_full("total_valor")} as total_integral,
+    {_compact("coalesce(total_valor_liberado, 0)")} as liberado,
+    cast(cast(round(coalesce(coalesce(cast(total_valor_liberado as double), 0) / nullif(cast(total_valor as double), 0)
+        * 100, 0)) as bigint) as varchar) || '%' as parte_liberada,
+    {_thousands("numero_convenios")} as convenios, {_thousands("numero_municipios")} as municipios,
+    {_thousands("numero_orgaos")} as orgaos,
+    coalesce(orgao_maior_gasto_nome, '—') as orgao_topo,
+    case when orgao_maior_gasto_valor is not null then {_compact("orgao_maior_gasto_valor")} end as orgao_topo_valor,
+    coalesce({_month_name("mes_pico_mes")}, '—') as mes_recorde,
+    case when mes_pico_valor is not null then {_compact("mes_pico_valor")} end as mes_recorde_valor,
+    coalesce(cast(periodo_inicio as varchar), '?') || ' a ' || coalesce(cast(periodo_fim as varchar), '?') as periodo
+from k"""
+
+
 ORACLE: dict[str, str] = {
     "flat_json_events": """
 select event_id, cast(json_extract_string(props, '$.k') as int) as k,
@@ -425,6 +461,37 @@ from years""",
 select distinct uf_sigla as valor, uf_nome || ' (' || uf_sigla || ')' as texto from geo where nome_regiao = 'ASIA'""",
     "geo_options_municipalities": f"""with {AGREEMENTS},{GEOGRAPHY}
 select distinct codigo_ibge as valor, nome_municipio as texto from geo where uf_sigla = 'N7'""",
+    "geo_names_states": f"""with {AGREEMENTS},{GEOGRAPHY}
+select distinct uf_nome from geo where nome_regiao = 'ASIA'""",
+    "geo_names_municipalities": f"""with {AGREEMENTS},{GEOGRAPHY}
+select distinct nome_municipio from geo where nome_regiao = 'ASIA' and uf_nome = 'NATION_7'""",
+    "kpi_texts": _kpi_texts("true"),
+    "kpi_texts_empty": _kpi_texts("valor < 0"),
+    "kpi_amendment_texts": f"""{STAR_E},
+k as (
+    select {_sum("valor_empenhado")} as e, {_sum("valor_pago")} as p, {_sum("valor_resto_cancelado")} as c,
+        {_RATIO} as taxa, min(ano) as inicio, max(ano) as fim,
+        count(distinct case when eh_parlamentar_individual then author.sk_autor_emenda end) as n
+    from fcte join author on fcte.sk_autor_emenda = author.sk_autor_emenda
+)
+select {_compact("e")} as empenhado, {_compact("p")} as pago, {_compact("c")} as cancelado,
+    {_percent("taxa")} as taxa_execucao, {_thousands("n")} as parlamentares,
+    cast(inicio as varchar) || ' a ' || cast(fim as varchar) as anos
+from k""",
+    "series_texts": f"""{STAR},
+serie as (
+    select strftime(mes_referencia, '%Y-%m') as mes, sum(valor) as v, count(*) as n from fct group by mes_referencia
+)
+select mes, {_month_name("mes")} as rotulo, {_full("v")} as valor, {_thousands("n")} as convenios from serie""",
+    "authors_table_texts": f"""{_AUTHORS},
+top as (
+    select * from authors where individual
+    order by taxa_execucao desc nulls last, valor_empenhado desc nulls last, nome, tipo_emenda limit 50
+)
+select nome, tipo_emenda, {_full("valor_empenhado")} as valor_empenhado, {_full("valor_pago")} as valor_pago,
+    {_full("valor_resto_cancelado")} as valor_resto_cancelado, {_percent("taxa_execucao")} as taxa_execucao,
+    {_thousands("numero_emendas")} as numero_emendas
+from top""",
     "top15_agencies": f"""{_AGENCIES}
 select coalesce(nullif(sigla, ''), nome) as rotulo, valor_total from ranking
 order by valor_total desc nulls last, codigo limit 15""",
@@ -450,10 +517,11 @@ select nome, valor_empenhado, valor_pago, encontrados,
 from found, counted order by valor_empenhado desc nulls last, nome, tipo_emenda limit 15""",
     "authors_sorted": f"""{_AUTHORS}
 select nome, tipo_emenda, valor_empenhado, valor_pago, valor_resto_cancelado, taxa_execucao, numero_emendas
-from authors where individual order by taxa_execucao desc nulls last, nome, tipo_emenda limit 50""",
+from authors where individual order by taxa_execucao desc nulls last, valor_empenhado desc nulls last, nome, tipo_emenda
+limit 50""",
     "authors_sorted_text": f"""{_AUTHORS}
 select nome, tipo_emenda, valor_empenhado, valor_pago, valor_resto_cancelado, taxa_execucao, numero_emendas
-from authors order by nome nulls last, tipo_emenda nulls last limit 50""",
+from authors order by nome nulls last, valor_empenhado desc nulls last, tipo_emenda limit 50""",
     "format_brl": f"""
 select o_orderkey, {_reais('(o_totalprice / 1000)')} as unidades, {_reais('o_totalprice')} as milhares,
     {_reais('(o_totalprice * 1000)')} as milhoes, {_reais('(o_totalprice * 1000000)')} as bilhoes,

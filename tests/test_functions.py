@@ -131,6 +131,7 @@ def test_site_currency(spark, value, compact, full):
 
 def test_small_texts(spark):
     assert one(spark, display.percent_text(F.lit(0.456))) == "46%"
+    assert one(spark, display.percent_text(F.lit(0.285))) == "29%"
     assert one(spark, display.percent_text(F.lit(None).cast("double"))) == "—"
     assert one(spark, display.integer_text(F.lit(18723))) == "18.723"
     assert one(spark, display.integer_text(F.lit(None).cast("int"))) == "0"
