@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from outlay.config import Config  # noqa: E402
 from outlay.operators.quality import gate  # noqa: E402
-from outlay.plans import pipeline  # noqa: E402
+from outlay.plans import interval  # noqa: E402
 from outlay.session import build_session  # noqa: E402
 from outlay.sources.landing import ingest_records, landing_path  # noqa: E402
 from outlay.sources.marts import TableFolder  # noqa: E402
@@ -62,11 +62,11 @@ def main(arguments: list[str] | None = None) -> None:
     config = Config(args.as_of, args.root)
     marts = TableFolder(spark, config.marts)
     if args.step == "run":
-        show(pipeline.run_interval(spark, config, args.loaded_at, args.interval_end, not args.not_latest))
+        show(interval.run_interval(spark, config, args.loaded_at, args.interval_end, not args.not_latest))
     elif args.step == "backfill":
-        show(pipeline.backfill(spark, config, args.interval_ends, args.loaded_at))
+        show(interval.backfill(spark, config, args.interval_ends, args.loaded_at))
     elif args.step == "files":
-        pipeline.run_files(spark, config, args.agreements, args.amendments, args.loaded_at)
+        interval.run_files(spark, config, args.agreements, args.amendments, args.loaded_at)
     elif args.step == "load-window":
         landed = ingest_records(spark, landing_path(config.landing_agreements, args.end))
         show([load_window(landed, config.raw_agreements, args.start, args.end, args.loaded_at)])
@@ -74,11 +74,11 @@ def main(arguments: list[str] | None = None) -> None:
         landed = ingest_records(spark, landing_path(config.landing_amendments, config.as_of))
         show([load_snapshot(landed, config.raw_amendments, args.loaded_at, config.quarantine_amendments)])
     elif args.step == "build":
-        pipeline.build_marts(spark, config)
+        interval.build_marts(spark, config)
     elif args.step == "test":
-        gate(pipeline.check_marts(marts))
+        gate(interval.check_marts(marts))
     elif args.step == "publish":
-        pipeline.publish(marts, config.products, args.loaded_at)
+        interval.publish(marts, config.products, args.loaded_at)
 
 
 if __name__ == "__main__":

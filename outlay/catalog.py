@@ -30,7 +30,7 @@ from outlay.operators.quality import DataTest, run_tests
 from outlay.operators.versions import latest_version
 from outlay.plans import dashboard, products, staging
 from outlay.plans.contract import CONTRACT
-from outlay.plans.pipeline import product_tables, run_interval
+from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
 from outlay.session import new_work_path, spread
 from outlay.sources import raw, windows

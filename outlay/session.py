@@ -20,6 +20,8 @@ SESSION_SETTINGS = {
     # even when the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of one key compress well, so a hot partition looks smaller than it is.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
 }
 
 _local_folders: dict[str, str] = {}

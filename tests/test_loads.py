@@ -130,6 +130,24 @@ def test_landing_keeps_intervals_apart(spark, folder):
     assert spark.read.text(landing.landing_path(folder, "2026-07-19")).count() == 1
 
 
+def test_empty_landed_interval_clears_its_window(spark, folder):
+    path = f"{folder}/raw"
+    raw.load_window(documents(spark, [agreement(1)]), path, *A, T1)
+    landed = landing.write_landing(spark.createDataFrame([], "id int"), f"{folder}/landing", A[1])
+    report = raw.load_window(landing.ingest_records(spark, landed), path, *A, T2)
+    assert (report.removed, report.inserted) == (1, 0)
+    assert window_counts(spark, path) == {}
+
+
+def test_year_may_be_text_or_number(spark, folder):
+    path = f"{folder}/raw"
+    raw.load_snapshot(documents(spark, [amendment("a", ano="2024"), amendment("b", ano=2024)]), path, T1)
+    assert year_counts(spark, path) == {2024: 2}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        raw.load_snapshot(documents(spark, [amendment("a", ano="two")]), path, T2)
+    assert year_counts(spark, path) == {2024: 2}
+
+
 def test_streamed_intervals_equal_batch_loads(spark, folder):
     base, path, checkpoint = f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint"
     rows = spark.createDataFrame([(1,), (2,), (3,)], "id int")
