@@ -26,7 +26,13 @@ from outlay.functions.display import (
     released_share,
 )
 from outlay.functions.money import brl_decimal
-from outlay.operators.quality import DataTest, run_tests
+from outlay.operators.quality import (
+    DataTest,
+    accepted_values_failures,
+    non_negative_failures,
+    run_tests,
+    unique_failures,
+)
 from outlay.operators.versions import latest_version
 from outlay.plans import dashboard, products, staging
 from outlay.plans.contract import CONTRACT
@@ -34,7 +40,7 @@ from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
 from outlay.session import new_work_path, spread
 from outlay.sources import raw, windows
-from outlay.sources.documents import write_json_product
+from outlay.sources.documents import write_json_object, write_json_product
 from outlay.sources.landing import ingest_records, read_jsonl, write_landing
 from outlay.sources.marts import MARTS, TableFolder
 from outlay.standin import (
@@ -46,6 +52,7 @@ from outlay.standin import (
     brl_text,
     table,
 )
+from outlay.streaming.landing import load_landed_intervals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,6 +249,19 @@ def json_product_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+@query
+def json_product_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals written as one nested JSON object and read back."""
+    marts, path = Marts.of(spark, sf_dir), new_work_path(spark, "product")
+    write_json_object(products.kpis(marts["fct_convenios"], marts["dim_orgao_superior"]), path)
+    schema = (
+        "total_valor double, total_valor_liberado double, numero_convenios bigint, numero_municipios bigint, "
+        "numero_orgaos bigint, periodo_inicio date, periodo_fim date, "
+        "orgao_maior_gasto struct<nome string, valor double>, mes_pico struct<mes string, valor double>"
+    )
+    return _flat_kpis(spark.read.schema(schema).option("mode", "FAILFAST").json(path))
+
+
 # --- dashboard and site -------------------------------------------------------
 
 
@@ -635,6 +655,21 @@ def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.parse_documents(ingest_records(spark, path), EVENT_FIELDS)
 
 
+@query
+def load_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed intervals loaded by the stream; each names its window by its last day."""
+    base, path = new_work_path(spark, "landing"), new_work_path(spark, "raw")
+    events = _event_days(spark, sf_dir)
+    for start, end in _event_windows(spark, sf_dir):
+        rows = events.where(F.col("dia").between(F.lit(start), F.lit(end)))
+        write_landing(rows.select("event_id", "event_type"), base, end)
+    stream = load_landed_intervals(
+        spark, base, path, new_work_path(spark, "stream"), "2024-02-01 00:00:00", windows.WINDOW_DAYS
+    )
+    stream.awaitTermination()
+    return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
+
+
 # --- data tests ---------------------------------------------------------------
 
 
@@ -660,6 +695,24 @@ def quality_report_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_tests({name: table(spark, sf_dir, name) for name in names}, tests)
 
 
+@query
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rows of a uniqueness test."""
+    return unique_failures(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@query
+def unexpected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rows of an accepted-values test."""
+    return accepted_values_failures(table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@query
+def negative_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rows of a non-negative test."""
+    return non_negative_failures(table(spark, sf_dir, "customer"), "c_acctbal")
+
+
 # --- interval runs ------------------------------------------------------------
 
 

@@ -34,7 +34,12 @@ typed as (
     left join region on n_regionkey = r_regionkey
 ),
 versions as (
-    select *, row_number() over (partition by id_convenio order by carregado_em desc nulls last, valor) as versao
+    select *, row_number() over (
+        partition by id_convenio
+        order by carregado_em desc nulls last, numero_processo nulls last, situacao nulls last,
+            valor nulls last, valor_liberado nulls last, municipio_codigo_ibge nulls last, municipio_nome nulls last,
+            municipio_codigo_regiao nulls last, municipio_uf_sigla nulls last, orgao_superior_codigo nulls last
+    ) as versao
     from typed
 ),
 stg as (
@@ -92,7 +97,8 @@ fct as (
 AMENDMENTS = """
 items as (
     select *, cast(l_extendedprice as decimal(18, 2)) as price,
-        cast(cast(l_extendedprice as decimal(18, 2)) * (1 - cast(l_discount as decimal(4, 2))) as decimal(18, 2)) as paid
+        cast(cast(l_extendedprice as decimal(18, 2)) * (1 - cast(l_discount as decimal(4, 2))) as decimal(18, 2))
+            as paid
     from lineitem
 ),
 stge as (
@@ -265,7 +271,10 @@ def _compact(value: str) -> str:
     return f"(case when {value} < 0 then '-' else '' end) || 'R$' || chr(160) || replace({text}, '.', ',')"
 
 
-_MONTHS = "['janeiro','fevereiro','março','abril','maio','junho','julho','agosto','setembro','outubro','novembro','dezembro']"
+_MONTHS = (
+    "['janeiro', 'fevereiro', 'março', 'abril', 'maio', 'junho', "
+    "'julho', 'agosto', 'setembro', 'outubro', 'novembro', 'dezembro']"
+)
 
 def _unique(table: str, column: str, rows: str) -> str:
     return (
@@ -422,6 +431,12 @@ group by election.ano, eh_ano_eleitoral, tipo_eleicao, posicao_mandato_federal""
     "json_product_municipalities": f"""{_PLACES}
 select codigo_ibge, nome, uf_sigla, uf_nome, regiao, cast(valor_total as double) as valor_total, numero_convenios
 from places""",
+    "json_product_kpis": f"""with k as ({_kpis("true")})
+select * replace (
+    cast(total_valor as double) as total_valor, cast(total_valor_liberado as double) as total_valor_liberado,
+    cast(orgao_maior_gasto_valor as double) as orgao_maior_gasto_valor,
+    cast(mes_pico_valor as double) as mes_pico_valor)
+from k""",
     "dash_kpis": f"""{STAR}
 select {_sum("valor")} as valor_total, {_sum("valor_liberado")} as valor_liberado,
     count(*) as numero_convenios, count(distinct fct.sk_municipio) as numero_municipios
@@ -588,6 +603,8 @@ union all
 select 'convenios', (select count(*) from placed where janela_inicio = inicio), n, false from kept
 union all
 select 'convenios', n, 0, true from kept""",
+    "load_streamed_windows": f"""{_EVENTS}
+select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed""",
     "load_snapshot_replay": _YEAR_TOTALS.format(
         value="cast(case when ano_snapshot in (1999, 2000) then 3 * price else price end as decimal(18, 2))"
     ),
@@ -606,6 +623,13 @@ select 'convenios', n, 0, true from kept""",
             _where("not_null", "customer", "c_name", "customer"),
         ]
     ),
+    "duplicate_keys": """
+select l_orderkey, count(*) as n_records from lineitem where l_orderkey is not null
+group by l_orderkey having count(*) > 1""",
+    "unexpected_values": """
+select o_orderstatus, count(*) as n_records from orders where o_orderstatus not in ('F', 'O')
+group by o_orderstatus""",
+    "negative_balances": "select * from customer where c_acctbal < 0",
     "interval_runs": f"""with {AGREEMENTS}
 select orgao_superior_codigo as codigo, min(orgao_superior_nome) as nome, min(orgao_superior_sigla) as sigla,
     cast(sum(case when situacao = 'F' then 2 * valor else valor end) as decimal(38, 2)) as valor_total,

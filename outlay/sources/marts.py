@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 STAGING = ("stg_convenios", "stg_emendas")
 MARTS = (
@@ -25,17 +26,22 @@ class TableFolder:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
         rows.write.mode("overwrite").parquet(self.path(name))
-        # The schema is known here, so reading back needs no footer job.
-        return self.spark.read.schema(rows.schema).parquet(self.path(name))
+        self._schemas[name] = rows.schema
+        return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table as it is on disk now; a known schema saves the job that reads it from a file."""
+        reader = self.spark.read
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        return reader.parquet(self.path(name))
 
     def register_views(self, names: tuple[str, ...] = MARTS) -> None:
         """Make the tables visible to ``spark.sql`` under their own names."""

@@ -3,7 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from fixtures import AGENCY, AS_OF, PLACE, agreement, amendment, documents, raw_agreements
+from fixtures import AGENCY, AS_OF, agreement, amendment, documents, raw_agreements
 from pyspark.sql import functions as F
 
 from outlay.operators.quality import DataTest, DataTestFailure, gate, run_tests
