@@ -17,7 +17,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.splitext(os.path.basename(path))[0]
-        connection.execute(f"create view {name} as select * from read_parquet('{path}')")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"create view {name} as select * from read_parquet('{files}')")
     return connection
 
 
