@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,8 +23,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
 }
 
-_local_folders: dict[str, str] = {}
-
 
 def build_session(app_name: str = "outlay", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above; ``settings`` use ``__`` for dots."""
@@ -40,21 +37,15 @@ def build_session(app_name: str = "outlay", master: str | None = None, **setting
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for working tables: ``spark.checkpoint.dir`` of the session.
+    """The folder for working tables that every executor reaches.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be invisible to other executors.
+    ``spark.checkpoint.dir`` of the session; where it is unset, a folder below
+    the warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="outlay-")
-    return _local_folders[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/outlay-work"
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
