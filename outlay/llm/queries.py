@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from outlay.llm import language_ecoc, quality_crf, toxicity_gru
 from outlay.llm.byte_bpe_frames import encode_digests
 from outlay.llm.common import read_table
+from outlay.llm.decontamination import contaminated_documents
 from outlay.llm.exact_dedup import exact_duplicates
+from outlay.llm.minhash_dedup import near_duplicates
+from outlay.llm.suffix_dedup import removal_digests
+from outlay.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_ecoc.identify(docs, language_ecoc.train(docs))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -22,9 +35,38 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_crf.quality_scores(docs, quality_crf.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity_gru.toxicity_scores(docs, toxicity_gru.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality": op7_quality,
+    "op8_toxicity": op8_toxicity,
+    "op9_token_counts": op9_token_counts,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE: dict[str, str] = {
