@@ -21,7 +21,8 @@ CORE = LENGTH - REACH + 1
 #: All strings with one anchor lie in these bytes: REACH - 1 before it, LENGTH from it on.
 CONTEXT = REACH - 1 + LENGTH
 _GRAM = 8
-_PIECE = 1 << 19
+#: Positions of one stretch fit into 16 bits.
+_PIECE = 60_000
 
 _draw = np.random.Generator(np.random.PCG64(6_200))
 #: Two independent hashes: random values of the 256 bytes and of the outside, and an odd base with its inverse.
@@ -44,17 +45,20 @@ class WindowHashes:
 
     def __init__(self, data: np.ndarray, before: int = 0, after: int = 0) -> None:
         self.before = before
-        symbols = np.full(before + len(data) + after, 256, dtype=np.int16)
-        symbols[before : before + len(data)] = data
-        self.sums = []
-        for values, down in zip(_VALUES, _DOWN):
-            total = np.zeros(len(symbols) + 1, dtype=np.uint64)
-            np.cumsum(values[symbols] * down[: len(symbols)], out=total[1:])
-            self.sums.append(total)
+        self.symbols = np.full(before + len(data) + after, 256, dtype=np.int16)
+        self.symbols[before : before + len(data)] = data
+        self.sums: dict[int, np.ndarray] = {}
+
+    def _sums(self, which: int) -> np.ndarray:
+        if which not in self.sums:
+            total = np.zeros(len(self.symbols) + 1, dtype=np.uint64)
+            np.cumsum(_VALUES[which][self.symbols] * _DOWN[which][: len(self.symbols)], out=total[1:])
+            self.sums[which] = total
+        return self.sums[which]
 
     def at(self, starts: np.ndarray, length: int, which: int) -> np.ndarray:
         first = starts + self.before
-        total = self.sums[which]
+        total = self._sums(which)
         value = (total[first + length] - total[first]) * _UP[which][first]
         return (value ^ (value >> np.uint64(31))).view(np.int64)
 
@@ -62,16 +66,18 @@ class WindowHashes:
 def _anchors(data: np.ndarray, starts: int) -> np.ndarray:
     """The anchor of each of the first ``starts`` positions."""
     count = starts + REACH - 1
-    grams = np.ndarray((count,), dtype="<u8", buffer=data, strides=(1,)).copy()
-    grams *= np.uint64(0x9E3779B97F4A7C15)
-    grams ^= grams >> np.uint64(32)
-    grams *= np.uint64(0xD6E8FEB86659FD93)
-    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64)
+    grams = np.ndarray((count,), dtype="<u8", buffer=data, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
+    # The hash in the upper half, the position in the lower: the smallest is leftmost among equals.
+    least = (grams >> np.uint64(32)).astype(np.uint32)
+    least ^= least >> np.uint32(15)
+    least *= np.uint32(0x85EBCA6B)
+    least &= np.uint32(0xFFFF0000)
+    least |= np.arange(count, dtype=np.uint32)
     step = 1
     while step < REACH:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
-    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return (least & np.uint32(0xFFFF)).astype(np.int64)
 
 
 class Segments:

@@ -17,7 +17,7 @@ def bit_field(keys: DataFrame, column: str) -> np.ndarray:
     # At most BITS / 64 rows of one word each come to the driver.
     rows = words.agg(
         F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits")
-    ).toPandas()
+    ).toArrow()
     field = np.zeros(BITS // 64, dtype=np.int64)
     field[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return field.view(np.uint8)  # little-endian: bit b is in byte b // 8

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import language_ecoc, quality_crf, toxicity_gru
+from outlay.llm import language_ecoc, personal_data, quality_crf, toxicity_gru
 from outlay.llm.byte_bpe_frames import encode_digests
 from outlay.llm.common import read_table
 from outlay.llm.decontamination import contaminated_documents
@@ -23,6 +24,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ecoc.identify(docs, language_ecoc.train(docs))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return personal_data.personal_data(docs, personal_data.train(docs))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -57,8 +63,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
@@ -67,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_minhash": op10_minhash,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {

@@ -243,14 +243,17 @@ def repeated_starts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
     cores = work.keep(_shared_cores(texts), "cores")
     likely = work.keep(_likely_segments(texts, cores), "segments")
-    row = F.struct("doc_id", "place", "core", "text_hash")
+    # Equal contexts have equal cores; of their places the smallest stands for all.
     known = work.keep(
-        likely.groupBy("context1", "context2").agg(F.count("*").alias("n"), F.min(row).alias("row")), "known"
+        likely.groupBy("context1", "context2").agg(
+            F.count("*").alias("n"), F.min("core").alias("core"), F.min("place").alias("place")
+        ),
+        "known",
     )
     multiple = known.where("n > 1")
     whole = likely.join(multiple.select("context1", "context2"), ["context1", "context2"], "left_semi")
-    single = work.keep(known.where("n = 1").select("row.core", "row.place").join(cores, "core", "left_semi"), "single")
-    once = multiple.select("row.core", "row.place").join(single.select("core").distinct(), "core", "left_semi")
+    single = work.keep(known.where("n = 1").select("core", "place").join(cores, "core", "left_semi"), "single")
+    once = multiple.select("core", "place").join(single.select("core").distinct(), "core", "left_semi")
     wanted = work.keep(single.unionByName(once), "wanted")
     hot = wanted.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CORE).select("core")
     hot = work.keep(hot, "hot")

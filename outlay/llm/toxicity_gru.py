@@ -23,11 +23,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.common import WorkTables, id_and_text
 from outlay.llm.labelled import is_held_out, training_sample
+from outlay.llm.shingles import WordHashes, shingle_set
 
 #: Labelled documents per class in the training sample.
 SAMPLE_PER_CLASS = 4000
@@ -36,8 +37,10 @@ STRIDE = 12
 THRESHOLD = 0.5
 HIDDEN = 8
 INPUTS = 7
-#: A word or piece counts once this many training documents hold it.
-LEAST_DOCUMENTS = 3
+#: Lengths of the character pieces of a word, its ends marked.
+PIECE_SIZES = (3, 4, 5)
+#: A word or piece counts if chance explains its documents' labels worse than this (G statistic).
+LEAST_EVIDENCE = 15.0
 _SMOOTHING = 1.0
 _WINDOWS_AT_ONCE = 4096
 _REMEMBERED_WORDS = 200_000
@@ -56,7 +59,7 @@ def words_of(text: str) -> list[bytes]:
 
 def pieces_of(word: bytes) -> list[bytes]:
     framed = b"^" + word[:60] + b"$"
-    return [framed[i : i + 3] for i in range(len(framed) - 2)]
+    return [framed[i : i + size] for size in PIECE_SIZES for i in range(len(framed) - size + 1)]
 
 
 @dataclass
@@ -215,15 +218,47 @@ class ToxicityModel:
     offset: float
 
 
-def _half(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(11), doc_id), F.lit(2)).cast("int")
+def _sketch(text: str) -> int:
+    """The smallest shingle hash: near copies mostly share it."""
+    found = shingle_set(WordHashes().of(words_of(text)))
+    return int(found[0] >> np.uint64(1)) if len(found) else 0
+
+
+def _apart(work: WorkTables, sample: DataFrame) -> DataFrame:
+    """``doc_id, label, half, text``: of near copies with one label one stays, so they count once.
+
+    The halves are cut by the sketch: copies with different labels stay together.
+    """
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[["doc_id", "label", "text"]].assign(sketch=[_sketch(text) for text in batch["text"]])
+
+    sketched = work.keep(sample.mapInPandas(sketch, "doc_id long, label int, text string, sketch long"), "sketched")
+    first = sketched.groupBy("sketch", "label").agg(F.min("doc_id").alias("doc_id"))
+    half = F.pmod(F.xxhash64("sketch"), F.lit(2)).cast("int").alias("half")
+    return work.keep(sketched.join(first, ["sketch", "label", "doc_id"]).select("doc_id", "label", half, "text"), "apart")
+
+
+def _log_odds(n: list[int], size: list[int]) -> float | None:
+    """Log-odds of the label for documents that hold a form, or None if chance may explain them.
+
+    ``n`` and ``size``: clean and toxic documents with the form, and at all.
+    """
+    expected = [sum(n) * part / max(sum(size), 1) for part in size]
+    g = 2 * sum(k * math.log(k / e) for k, e in zip(n, expected) if k)
+    if g < LEAST_EVIDENCE or not all(size):
+        return None
+    # Shrunk toward the classes' own shares, so little evidence says little.
+    prior = size[1] / sum(size)
+    return math.log((n[1] + _SMOOTHING * prior) / size[1] / ((n[0] + _SMOOTHING * (1 - prior)) / size[0]))
 
 
 def _evidence(work: WorkTables, sample: DataFrame) -> dict[int, Evidence]:
     """Evidence from each half (0, 1) of the sample and from both (2).
 
-    Only entries that say something (enough documents, log-odds not near zero)
-    come to the driver; the sample's bound bounds them too.
+    Only forms of several documents and with log-odds not near zero come to
+    the driver; the sample's bound bounds them too.
     """
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -232,13 +267,8 @@ def _evidence(work: WorkTables, sample: DataFrame) -> dict[int, Evidence]:
             pieces = [list({p for w in ws for p in pieces_of(w)}) for ws in found]
             yield pd.DataFrame({"half": batch["half"], "label": batch["label"], "words": found, "pieces": pieces})
 
-    described = work.keep(
-        sample.withColumn("half", _half(F.col("doc_id"))).mapInPandas(
-            forms, "half int, label int, words array<binary>, pieces array<binary>"
-        ),
-        "forms",
-    )
-    totals = {(r["half"], r["label"]): r["n"] for r in described.groupBy("half", "label").agg(F.count("*").alias("n")).collect()}
+    described = work.keep(sample.mapInPandas(forms, "half int, label int, words array<binary>, pieces array<binary>"), "forms")
+    sizes = {(r["half"], r["label"]): r["n"] for r in described.groupBy("half", "label").agg(F.count("*").alias("n")).collect()}
     result = {half: Evidence() for half in (0, 1, 2)}
     for kind in ("words", "pieces"):
         counted = described.select("half", "label", F.explode(kind).alias("form"))
@@ -248,20 +278,16 @@ def _evidence(work: WorkTables, sample: DataFrame) -> dict[int, Evidence]:
             for label in (0, 1)
         ]
         counts = counted.groupBy("form").agg(*sums)
-        total = [sum(totals.get((half, label), 0) for half in (0, 1)) + 1 for label in (0, 1)]
+        total = [sum(sizes.get((half, label), 0) for half in (0, 1)) + 1 for label in (0, 1)]
         share = [(F.col(f"n0{label}") + F.col(f"n1{label}") + 0.5) / total[label] for label in (0, 1)]
-        telling = counts.where("n00 + n01 + n10 + n11 >= 2").where(F.abs(F.log(share[1] / share[0])) > 0.7)
-        for row in telling.toLocalIterator():
+        telling = counts.where("n00 + n01 + n10 + n11 >= 3").where(F.abs(F.log(share[1] / share[0])) > 0.7)
+        for row in telling.toPandas().itertuples():
             for half in (0, 1, 2):
                 used = (0, 1) if half == 2 else (half,)
-                n = [sum(row[f"n{h}{label}"] for h in used) for label in (0, 1)]
-                size = [sum(totals.get((h, label), 0) for h in used) + 1 for label in (0, 1)]
-                if sum(n) >= LEAST_DOCUMENTS:
-                    # Shrunk toward the classes' own shares, so little evidence says little.
-                    prior = size[1] / (size[0] + size[1])
-                    toxic = (n[1] + _SMOOTHING * prior) / size[1]
-                    clean = (n[0] + _SMOOTHING * (1 - prior)) / size[0]
-                    getattr(result[half], kind)[bytes(row["form"])] = (math.log(toxic / clean), sum(n))
+                n = [sum(getattr(row, f"n{h}{label}") for h in used) for label in (0, 1)]
+                odds = _log_odds(n, [sum(sizes.get((h, label), 0) for h in used) for label in (0, 1)])
+                if odds is not None:
+                    getattr(result[half], kind)[bytes(row.form)] = (odds, sum(n))
     return result
 
 
@@ -277,13 +303,12 @@ def _training_windows(sample: DataFrame, evidence: dict[int, Evidence]) -> pd.Da
                 table.turn()
                 windows = table.windows(words_of(text))
                 inputs = np.asarray(table.rows, dtype=np.float32)[windows]
-                best = int(inputs[:, :, 0].max(axis=1).argmax())
+                best = int(inputs[:, :, [0, 2]].max(axis=(1, 2)).argmax())
                 for at in {best, (best + 1 + doc_id % max(1, len(windows) - 1)) % len(windows)} if label == 0 else {best}:
                     rows.append((doc_id, label, inputs[at].tobytes(), (windows[at] > 0).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "label", "inputs", "there"])
 
-    halves = sample.withColumn("half", _half(F.col("doc_id")))
-    return halves.mapInPandas(run, "doc_id long, label int, inputs binary, there binary").toPandas()
+    return sample.mapInPandas(run, "doc_id long, label int, inputs binary, there binary").toPandas()
 
 
 def _highest(texts: pd.Series, table: WordTable, network: Network) -> np.ndarray:
@@ -319,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     Without both classes nothing is known: the model scores every text 0.
     """
     work = WorkTables(docs.sparkSession, "toxicity")
-    sample = work.keep(training_sample(docs, labels, "toxic", SAMPLE_PER_CLASS), "sample")
+    sample = _apart(work, training_sample(docs, labels, "toxic", SAMPLE_PER_CLASS))
     if sample.select("label").distinct().count() < 2:
         return ToxicityModel(Evidence(), Network.start(), 0.0, -40.0)
     evidence = _evidence(work, sample)
@@ -338,8 +363,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
                 odds[at] = _highest(batch["text"][at], WordTable(evidence[1 - half]), network)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "odds": odds})
 
-    halves = sample.withColumn("half", _half(F.col("doc_id")))
-    seen = halves.mapInPandas(run, "doc_id long, label int, odds double").toPandas().sort_values("doc_id")
+    seen = sample.mapInPandas(run, "doc_id long, label int, odds double").toPandas().sort_values("doc_id")
     slope, offset = _curve(seen["odds"].to_numpy(), seen["label"].to_numpy())
     return ToxicityModel(evidence[2], network, slope, offset)
 
