@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--root", required=True, help="folder of landing files, raw tables, marts and products")
     top.add_argument("--as-of", required=True, type=date.fromisoformat)
     steps = top.add_subparsers(dest="step", required=True)
-    now = datetime.now(timezone.utc).isoformat(sep=" ", timespec="seconds").removesuffix("+00:00")
+    now = datetime.now(timezone.utc).isoformat(timespec="seconds")
 
     def step(name: str, *dates: str, texts: tuple[str, ...] = ()) -> argparse.ArgumentParser:
         sub = steps.add_parser(name)
@@ -51,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
 
 def show(reports: list[LoadReport]) -> None:
     for report in reports:
-        print(f"{report.table}: removed={report.removed} inserted={report.inserted} quarantined={report.quarantined}")
+        print(f"{report.table}: removed={report.removed} inserted={report.inserted} undated={report.undated}")
         if report.warning:
             print(f"warning: {report.warning}", file=sys.stderr)
 
@@ -72,9 +72,9 @@ def main(arguments: list[str] | None = None) -> None:
         show([load_window(landed, config.raw_agreements, args.start, args.end, args.loaded_at)])
     elif args.step == "load-snapshot":
         landed = ingest_records(spark, landing_path(config.landing_amendments, config.as_of))
-        show([load_snapshot(landed, config.raw_amendments, args.loaded_at, config.quarantine_amendments)])
+        show([load_snapshot(landed, config.raw_amendments, args.loaded_at)])
     elif args.step == "build":
-        interval.build_marts(spark, config)
+        interval.build_marts(spark, config).make_current()
     elif args.step == "test":
         gate(interval.check_marts(marts))
     elif args.step == "publish":

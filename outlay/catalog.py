@@ -33,15 +33,15 @@ from outlay.operators.quality import (
     run_tests,
     unique_failures,
 )
-from outlay.operators.versions import latest_version
+from outlay.operators.versions import latest_version, representative
 from outlay.plans import dashboard, products, staging
 from outlay.plans.contract import CONTRACT
 from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
-from outlay.session import new_work_path, spread
+from outlay.session import new_work_path
 from outlay.sources import raw, windows
-from outlay.sources.documents import write_json_object, write_json_product
-from outlay.sources.landing import ingest_records, read_jsonl, write_landing
+from outlay.sources.documents import read_json_product, stamped, write_json_object, write_json_product
+from outlay.sources.landing import ingest_records, landing_path, read_jsonl, write_landing
 from outlay.sources.marts import MARTS, TableFolder
 from outlay.standin import (
     AS_OF,
@@ -241,12 +241,34 @@ def amendments_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_product_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The municipality product written as a JSON document and read back."""
     path = new_work_path(spark, "product")
-    write_json_product(municipalities(spark, sf_dir), path)
+    write_json_product(municipalities(spark, sf_dir), path, ["codigo_ibge"])
     schema = (
         "codigo_ibge string, nome string, uf_sigla string, uf_nome string, regiao string, "
         "valor_total double, numero_convenios bigint"
     )
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return read_json_product(spark, path, schema)
+
+
+@query
+def json_product_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author product, whose rows are told apart by two columns, written and read back."""
+    path = new_work_path(spark, "product")
+    write_json_product(ranking_authors(spark, sf_dir), path, ["nome", "tipo_emenda"])
+    schema = (
+        "nome string, tipo_emenda string, individual boolean, valor_empenhado double, valor_pago double, "
+        "valor_resto_cancelado double, numero_emendas bigint"
+    )
+    return read_json_product(spark, path, schema)
+
+
+@query
+def json_product_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the totals were made, read back from the written object as text and as a point in time."""
+    marts, path = Marts.of(spark, sf_dir), new_work_path(spark, "product")
+    totals = products.kpis(marts["fct_convenios"], marts["dim_orgao_superior"])
+    write_json_object(stamped(totals, f"{AS_OF} 06:00:00"), path)
+    read = spark.read.schema("numero_convenios bigint, gerado_em string").json(path)
+    return read.select("numero_convenios", "gerado_em", F.to_timestamp("gerado_em").alias("momento"))
 
 
 @query
@@ -397,6 +419,43 @@ def authors_table_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.authors_table_texts(authors_sorted(spark, sf_dir))
 
 
+@query
+def authors_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many authors the table has, and its note, when it lists a part and when it lists all."""
+    ranked = ranking_authors(spark, sf_dir)
+    return dashboard.authors_note(ranked).unionByName(dashboard.authors_note(ranked, False, 1_000_000_000))
+
+
+@query
+def top15_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ranking that the list's length really cuts: customers in the place of agencies."""
+    sums = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("codigo")).agg(
+        F.sum(F.col("o_totalprice").cast(MONEY)).cast(MONEY_TOTAL).alias("valor_total")
+    )
+    named = sums.withColumn("nome", F.concat(F.lit("Cliente "), F.col("codigo").cast("string"))).withColumn("sigla", F.lit(""))
+    return dashboard.top_agencies(named)
+
+
+@query
+def representative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of several spellings per key: the status and flag pairs of a part's line items."""
+    spellings = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus", "l_linenumber")
+    return representative(spellings, ["l_partkey"], ["l_returnflag", "l_linestatus"])
+
+
+@query
+def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user of SQL asks of the marts by name: grouped and ordered by position."""
+    marts = Marts.of(spark, sf_dir)
+    for name in ("fct_convenios", "dim_municipio"):
+        marts[name].createOrReplaceTempView(f"vista_{name}")
+    return spark.sql(
+        "select m.nome_regiao, year(f.mes_referencia) as ano, cast(sum(f.valor) as decimal(38, 2)) as valor, "
+        "count(*) as numero from vista_fct_convenios f join vista_dim_municipio m using (sk_municipio) "
+        "group by 1, 2 order by 1, 2"
+    )
+
+
 # --- display text -------------------------------------------------------------
 
 
@@ -587,7 +646,7 @@ def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _item_documents(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     price = (F.col("l_extendedprice").cast(MONEY) * factor).cast(MONEY)
     return items.select(
         F.to_json(F.struct(F.year("l_shipdate").alias("ano"), price.alias("valor"))).alias("dado"),
@@ -622,6 +681,30 @@ def load_snapshot_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _year_totals(raw.read_raw_amendments(spark, path))
 
 
+@query
+def load_snapshot_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one line number name no year; loaded twice they are there once."""
+    path = new_work_path(spark, "raw")
+    items = table(spark, sf_dir, "lineitem")
+    year = F.when(F.col("l_linenumber") != 1, F.year("l_shipdate"))
+    documents = items.select(
+        F.to_json(F.struct(year.alias("ano"), F.col("l_extendedprice").cast(MONEY).alias("valor"))).alias("dado")
+    )
+    for day in ("01", "02"):
+        raw.load_snapshot(documents, path, f"2001-08-{day} 00:00:00")
+    return _year_totals(raw.read_raw_amendments(spark, path))
+
+
+@query
+def evolve_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table from before the year column, then a load of one year at triple value into it."""
+    path = new_work_path(spark, "raw")
+    _item_documents(spark, sf_dir).select("dado", F.lit("2001-08-01").cast("timestamp").alias("carregado_em")).write.parquet(path)
+    again = _item_documents(spark, sf_dir, 3).where("ano = 1999").select("dado")
+    raw.load_snapshot(again, path, "2001-08-02 00:00:00")
+    return _year_totals(raw.read_raw_amendments(spark, path))
+
+
 @query
 def evolve_year_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw table from before the year column gets it, filled from its documents."""
@@ -670,6 +753,19 @@ def load_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
 
 
+@query
+def load_streamed_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One interval lands in two parts with a run of the stream between them: its window ends up whole."""
+    base, path, seen = new_work_path(spark, "landing"), new_work_path(spark, "raw"), new_work_path(spark, "stream")
+    start, end = _event_windows(spark, sf_dir)[0]
+    events = _event_days(spark, sf_dir).where(F.col("dia").between(F.lit(start), F.lit(end)))
+    for part in ("event_type = 'error'", "event_type <> 'error'"):
+        lines = events.where(part).select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
+        lines.write.mode("append").text(landing_path(base, end))
+        load_landed_intervals(spark, base, path, seen, "2024-02-01 00:00:00", windows.WINDOW_DAYS).awaitTermination()
+    return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
+
+
 # --- data tests ---------------------------------------------------------------
 
 

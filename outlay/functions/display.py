@@ -16,8 +16,10 @@ MONTH_NAMES = (
 NBSP = "\u00a0"
 YEAR_SENTENCE = "**%d**: %s, ano %d do mandato federal"
 YEAR_SEPARATOR = " · "
-NOTE_PART = ("Mostrando os ", " maiores de ", " no filtro atual.")
-NOTE_ALL = ("Mostrando ", " no filtro atual.")
+NOTE_PART = "Mostrando os %s maiores de %s %s no filtro atual."
+NOTE_ALL = "Mostrando %s %s no filtro atual."
+TABLE_NOTE_PART = "Mostrando os %s primeiros de %s autores, ordenado pela coluna selecionada."
+TABLE_NOTE_ALL = "Mostrando %s autor(es)."
 
 
 def _br_separators(number_text: Column) -> Column:
@@ -115,11 +117,11 @@ def election_label(election: Column) -> Column:
 
 def showing_note(shown: Column, found: Column, noun: str, noun_plural: str) -> Column:
     """Which part of the filtered rows a chart shows."""
-    begin, middle, end = NOTE_PART
-    part = F.concat(
-        F.lit(begin), integer_text(shown), F.lit(middle), integer_text(found), F.lit(f" {noun_plural}{end}")
-    )
-    begin, end = NOTE_ALL
-    return F.when(found > shown, part).otherwise(
-        F.concat(F.lit(begin), integer_text(found), F.lit(f" {noun}{end}"))
-    )
+    part = F.format_string(NOTE_PART, integer_text(shown), integer_text(found), F.lit(noun_plural))
+    return F.when(found > shown, part).otherwise(F.format_string(NOTE_ALL, integer_text(found), F.lit(noun)))
+
+
+def table_note(shown: Column, found: Column) -> Column:
+    """Which part of the authors the table lists."""
+    part = F.format_string(TABLE_NOTE_PART, integer_text(shown), integer_text(found))
+    return F.when(found > shown, part).otherwise(F.format_string(TABLE_NOTE_ALL, integer_text(found)))

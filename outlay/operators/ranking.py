@@ -37,7 +37,10 @@ def user_order(
     return rows.orderBy(key.asc_nulls_last() if direction == "asc" else key.desc_nulls_last(), *then)
 
 
-def with_found_count(shown: DataFrame, found: DataFrame, column: str) -> DataFrame:
-    """Add how many rows the shown ones were picked from."""
-    count = found.agg(F.count(F.lit(1)))
-    return shown.withColumn(column, count.scalar())
+def found_count(found: DataFrame) -> Column:
+    """How many rows the shown ones were picked from.
+
+    Use it in the one projection above a limit: another projection in between
+    would make Spark sort all rows instead of keeping the top ones.
+    """
+    return found.agg(F.count(F.lit(1))).scalar()

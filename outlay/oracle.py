@@ -385,19 +385,16 @@ from events""",
     "staged_amendments": f"{STAR_E}\nselect * from stge",
     "brl_normalise": f"""
 with texts as (
-    select o_orderkey, case
+    select o_orderkey, o_orderstatus, cast(o_totalprice as decimal(18, 2)) as preco, case
         when o_orderstatus = 'F' then {_money_text('o_totalprice')}
         when o_orderstatus = 'O' then '- ' || {_money_text('o_totalprice')}
         else cast(cast(o_totalprice as decimal(18, 2)) as varchar) end as texto
     from orders
 )
 select o_orderkey, texto,
-    cast(case when position(',' in texto) > 0
-        then replace(replace(replace(texto, '.', ''), ',', '.'), ' ', '')
-        else replace(texto, ' ', '') end as decimal(18, 2)) as valor,
-    try_cast(case when position(',' in texto) > 0
-        then replace(replace(replace(replace(texto, '.', 'x'), '.', ''), ',', '.'), ' ', '')
-        else replace(replace(texto, '.', 'x'), ' ', '') end as decimal(18, 2)) as valor_tolerante
+    cast(case when o_orderstatus = 'O' then -preco else preco end as decimal(18, 2)) as valor,
+    cast(case when o_orderstatus in ('F', 'O') and preco < 1000 then case when o_orderstatus = 'O' then -preco else preco end
+        end as decimal(18, 2)) as valor_tolerante
 from texts""",
     "latest_version_per_key": _VERSIONS,
     "latest_then_filter": _VERSIONS + " and l_returnflag is not null and l_shipdate >= date '1998-01-01'",
@@ -431,6 +428,37 @@ group by election.ano, eh_ano_eleitoral, tipo_eleicao, posicao_mandato_federal""
     "json_product_municipalities": f"""{_PLACES}
 select codigo_ibge, nome, uf_sigla, uf_nome, regiao, cast(valor_total as double) as valor_total, numero_convenios
 from places""",
+    "json_product_authors": f"""{_AUTHORS}
+select nome, tipo_emenda, individual, cast(valor_empenhado as double) as valor_empenhado,
+    cast(valor_pago as double) as valor_pago, cast(valor_resto_cancelado as double) as valor_resto_cancelado,
+    numero_emendas
+from authors""",
+    "json_product_stamp": f"""{STAR}
+select count(*) as numero_convenios, '2001-08-01T06:00:00+00:00' as gerado_em,
+    timestamp '2001-08-01 06:00:00' as momento
+from fct""",
+    "authors_notes": f"""{_AUTHORS},
+counts as (select count(*) filter (where individual) as shown_from, count(*) as everyone from authors)
+select shown_from as encontrados, case when shown_from > 50
+    then 'Mostrando os 50 primeiros de ' || {_thousands("shown_from")} || ' autores, ordenado pela coluna selecionada.'
+    else 'Mostrando ' || {_thousands("shown_from")} || ' autor(es).' end as nota
+from counts
+union all
+select everyone, 'Mostrando ' || {_thousands("everyone")} || ' autor(es).' from counts""",
+    "top15_customers": """
+select 'Cliente ' || cast(o_custkey as varchar) as rotulo,
+    cast(sum(cast(o_totalprice as decimal(18, 2))) as decimal(38, 2)) as valor_total
+from orders group by o_custkey order by valor_total desc, o_custkey limit 15""",
+    "representative_rows": """
+select l_partkey, l_returnflag, l_linestatus, l_linenumber from (
+    select *, row_number() over (
+        partition by l_partkey
+        order by l_returnflag nulls last, l_linestatus nulls last, l_linenumber nulls last) as r
+    from lineitem)
+where r = 1""",
+    "sql_over_views": f"""{STAR}
+select nome_regiao, cast(year(mes_referencia) as int) as ano, {_sum("valor")} as valor, count(*) as numero
+from fct join geo on fct.sk_municipio = geo.sk_municipio group by 1, 2""",
     "json_product_kpis": f"""with k as ({_kpis("true")})
 select * replace (
     cast(total_valor as double) as total_valor, cast(total_valor_liberado as double) as total_valor_liberado,
@@ -605,6 +633,15 @@ union all
 select 'convenios', n, 0, true from kept""",
     "load_streamed_windows": f"""{_EVENTS}
 select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed""",
+    "load_streamed_late_file": f"""{_EVENTS}
+select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed where janela_inicio = inicio""",
+    "load_snapshot_undated": """
+select cast(case when l_linenumber <> 1 then year(l_shipdate) end as int) as ano_snapshot, count(*) as registros,
+    cast(sum(cast(l_extendedprice as decimal(18, 2))) as decimal(38, 2)) as valor
+from lineitem group by 1""",
+    "evolve_then_load": _YEAR_TOTALS.format(
+        value="cast(case when ano_snapshot = 1999 then 3 * price else price end as decimal(18, 2))"
+    ),
     "load_snapshot_replay": _YEAR_TOTALS.format(
         value="cast(case when ano_snapshot in (1999, 2000) then 3 * price else price end as decimal(18, 2))"
     ),

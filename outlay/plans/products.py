@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from outlay.functions.dates import month_label
 from outlay.functions.money import safe_ratio
-from outlay.operators.ranking import ranking, top_n
+from outlay.operators.ranking import ranking
 from outlay.schemas import MONEY_TOTAL
 
 
@@ -32,34 +32,53 @@ def _count_total(column: str) -> Column:
 
 def kpis(fct_convenios: DataFrame, dim_orgao_superior: DataFrame) -> DataFrame:
     """One row, also for an empty fact: sums, dates and objects null, counts 0."""
-    by_agency = fct_convenios.groupBy("sk_orgao_superior").agg(
+    by_agency_month = fct_convenios.groupBy("sk_orgao_superior", "mes_referencia").agg(
         total("valor").alias("valor"),
         total("valor_liberado").alias("liberado"),
         count_rows().alias("n"),
         F.min("data_publicacao").alias("inicio"),
         F.max("data_publicacao").alias("fim"),
     )
-    municipalities = fct_convenios.agg(F.count_distinct("sk_municipio").alias("n"))
-    # Two agency codes may share a name, and the top is asked by name.
-    top_agency = top_n(
-        by_agency.join(dim_orgao_superior, "sk_orgao_superior")
-        .groupBy(F.col("nome_orgao_superior").alias("nome"))
-        .agg(total("valor").alias("valor")),
-        "valor",
-        ["nome"],
-        1,
-    )
-    peak_month = top_n(
-        fct_convenios.groupBy("mes_referencia").agg(total("valor").alias("valor")), "valor", ["mes_referencia"], 1
+    names = dim_orgao_superior.select(
+        "sk_orgao_superior", F.col("nome_orgao_superior").alias("nome"), F.lit(True).alias("achado")
     )
-    totals = by_agency.agg(
-        total("valor").alias("total_valor"),
-        total("liberado").alias("total_valor_liberado"),
-        _count_total("n").alias("numero_convenios"),
-        F.count("sk_orgao_superior").alias("numero_orgaos"),
-        F.min("inicio").alias("periodo_inicio"),
-        F.max("fim").alias("periodo_fim"),
+    # From here on there are a few rows per agency and month. Two agency codes
+    # may share a name, and the top is asked by name.
+    level = F.grouping_id()
+    sums = (
+        by_agency_month.join(names, "sk_orgao_superior", "left")
+        .groupingSets(
+            [["sk_orgao_superior"], ["nome", "achado"], ["mes_referencia"], []],
+            "sk_orgao_superior", "nome", "achado", "mes_referencia",
+        )
+        .agg(
+            level.alias("nivel"),
+            total("valor").alias("valor"),
+            total("liberado").alias("liberado"),
+            _count_total("n").alias("n"),
+            F.min("inicio").alias("inicio"),
+            F.max("fim").alias("fim"),
+        )
+    )
+    all_rows, by_agency, by_name, by_month = (F.col("nivel") == code for code in (0b1111, 0b0111, 0b1001, 0b1110))
+
+    def first(of: Column, key: str) -> Column:
+        """The row of largest value, then of smallest key; nulls last."""
+        order = F.struct(F.col("valor").isNull(), -F.col("valor"), F.col(key).isNull(), F.col(key))
+        return F.min_by(F.struct(F.col(key), F.col("valor")), F.when(of, order))
+
+    municipalities = fct_convenios.agg(F.count_distinct("sk_municipio").alias("n"))
+    totals = sums.agg(
+        F.max(F.when(all_rows, F.col("valor"))).alias("total_valor"),
+        F.max(F.when(all_rows, F.col("liberado"))).alias("total_valor_liberado"),
+        F.coalesce(F.max(F.when(all_rows, F.col("n"))), F.lit(0).cast("long")).alias("numero_convenios"),
+        F.count(F.when(by_agency, F.col("sk_orgao_superior"))).alias("numero_orgaos"),
+        F.max(F.when(all_rows, F.col("inicio"))).alias("periodo_inicio"),
+        F.max(F.when(all_rows, F.col("fim"))).alias("periodo_fim"),
+        first(by_name & F.col("achado"), "nome").alias("top"),
+        first(by_month, "mes_referencia").alias("pico"),
     )
+    peak = F.struct(month_label(F.col("pico.mes_referencia")).alias("mes"), F.col("pico.valor").alias("valor"))
     return totals.select(
         "total_valor",
         "total_valor_liberado",
@@ -68,10 +87,8 @@ def kpis(fct_convenios: DataFrame, dim_orgao_superior: DataFrame) -> DataFrame:
         "numero_orgaos",
         "periodo_inicio",
         "periodo_fim",
-        top_agency.select(F.struct("nome", "valor")).scalar().alias("orgao_maior_gasto"),
-        peak_month.select(F.struct(month_label(F.col("mes_referencia")).alias("mes"), "valor"))
-        .scalar()
-        .alias("mes_pico"),
+        F.col("top").alias("orgao_maior_gasto"),
+        F.when(F.col("pico").isNotNull(), peak).alias("mes_pico"),
     )
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from outlay.sources.files import children, exists, read_line, remove, replace_text
+
 STAGING = ("stg_convenios", "stg_emendas")
 MARTS = (
     "dim_municipio",
@@ -16,6 +21,11 @@ MARTS = (
 )
 
 
+#: The file that names the version readers use, and how many versions stay.
+POINTER = "current-version.txt"
+KEPT_VERSIONS = 2
+
+
 class TableFolder:
     """Named tables under one folder.
 
@@ -24,10 +34,30 @@ class TableFolder:
     """
 
     def __init__(self, spark: SparkSession, base: str):
+        """The tables at ``base``: of the version its pointer names, else of the folder itself."""
         self.spark = spark
-        self.base = base.rstrip("/")
+        self.root = base.rstrip("/")
+        pointer = f"{self.root}/{POINTER}"
+        self.base = f"{self.root}/{read_line(spark, pointer)}" if exists(spark, pointer) else self.root
         self._schemas: dict[str, T.StructType] = {}
 
+    @classmethod
+    def new_version(cls, spark: SparkSession, base: str) -> TableFolder:
+        """An empty folder for a rebuild; readers see it only after ``make_current``."""
+        folder = cls(spark, base)
+        folder.base = f"{folder.root}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        return folder
+
+    def make_current(self) -> None:
+        """Let readers find this version from now on, in one step.
+
+        The version before it stays for readers that still use it; older ones go.
+        """
+        replace_text(self.spark, f"{self.root}/{POINTER}", self.base.rsplit("/", 1)[1])
+        versions = [name for name in children(self.spark, self.root) if name.startswith("version-")]
+        for name in versions[: -KEPT_VERSIONS]:
+            remove(self.spark, f"{self.root}/{name}")
+
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 

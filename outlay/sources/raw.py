@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outlay.schemas import RAW_AGREEMENTS, RAW_AMENDMENTS
+from outlay.sources.files import children, exists, move
 
 WINDOW_KEYS = ("janela_inicio", "janela_fim")
+NO_AGREEMENT = "no agreement in this window"
 
 
 @dataclass(frozen=True)
@@ -25,20 +27,27 @@ class LoadReport:
     table: str
     removed: int
     inserted: int
-    quarantined: int = 0
+    undated: int = 0
     warning: str | None = None
 
 
 def load_report(spark: SparkSession, *reports: LoadReport) -> DataFrame:
-    schema = "table string, removed long, inserted long, quarantined long, warning string"
+    schema = "table string, removed long, inserted long, undated long, warning string"
     return spark.createDataFrame([astuple(report) for report in reports], schema)
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A raw table; one that was never loaded is created empty first."""
+    """A raw table as the loads left it; reading never makes one."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"{path} does not exist: load an extract first, or check the root folder")
+    return spark.read.schema(schema).parquet(path)
+
+
+def table_for_load(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table a load writes to, made empty by the first load."""
     keys = [field.name for field in schema.fields if field.name not in ("dado", "carregado_em")]
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*keys).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return read_raw(spark, path, schema)
 
 
 def read_raw_agreements(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +75,7 @@ def load_window(
     in_window = (F.col("janela_inicio") == F.lit(str(start)).cast("date")) & (
         F.col("janela_fim") == F.lit(str(end)).cast("date")
     )
-    removed = read_raw_agreements(spark, path).where(in_window).count()
+    removed = table_for_load(spark, path, RAW_AGREEMENTS).where(in_window).count()
     seen = Observation("window")
     rows = documents.observe(seen, F.count(F.lit(1)).alias("rows")).select(
         F.col("dado"),
@@ -77,38 +86,70 @@ def load_window(
     replace_partitions(rows, path, WINDOW_KEYS)
     inserted = seen.get["rows"]
     if inserted == 0:
-        # Dynamic overwrite leaves a partition it got no rows for: clear it by name.
-        nothing = spark.createDataFrame([], T.StructType(RAW_AGREEMENTS.fields[:2]))
-        nothing.write.mode("overwrite").parquet(f"{path}/janela_inicio={start}/janela_fim={end}")
-    warning = "no agreement in this window" if inserted == 0 else None
+        _clear_window(spark, path, start, end)
+    warning = NO_AGREEMENT if inserted == 0 else None
     return LoadReport("convenios", removed, inserted, 0, warning)
 
 
+def load_windows(
+    documents: DataFrame, path: str, windows: list[tuple[date, date]], loaded_at: datetime | str
+) -> list[LoadReport]:
+    """Delete-insert of many windows in one job.
+
+    ``documents`` has ``dado`` and ``janela_fim``, the last day of the row's
+    window; ``windows`` names all windows to replace, those without rows too.
+    """
+    spark = documents.sparkSession
+    named = spark.createDataFrame([(str(a), str(b)) for a, b in windows], "janela_inicio string, janela_fim string")
+    named = named.select(F.col("janela_inicio").cast("date"), F.col("janela_fim").cast("date")).distinct()
+    counted = lambda: {
+        (r["janela_inicio"], r["janela_fim"]): r["n"]
+        for r in read_raw_agreements(spark, path)
+        .join(F.broadcast(named), list(WINDOW_KEYS), "left_semi")
+        .groupBy(*WINDOW_KEYS)
+        .agg(F.count("*").alias("n"))
+        .collect()
+    }
+    table_for_load(spark, path, RAW_AGREEMENTS)
+    removed = counted()
+    stamp = F.lit(str(loaded_at)).cast("timestamp").alias("carregado_em")
+    rows = documents.join(F.broadcast(named), "janela_fim").select("dado", stamp, *WINDOW_KEYS)
+    replace_partitions(rows, path, WINDOW_KEYS)
+    filled = {r["janela_fim"] for r in documents.select("janela_fim").distinct().collect()}
+    for start, end in windows:
+        if end not in filled and (start, end) in removed:
+            _clear_window(spark, path, start, end)
+    inserted = counted()
+    return [
+        LoadReport("convenios", removed.get(w, 0), inserted.get(w, 0), 0, None if w in inserted else NO_AGREEMENT)
+        for w in windows
+    ]
+
+
+def _clear_window(spark: SparkSession, path: str, start: date | str, end: date | str) -> None:
+    """Dynamic overwrite leaves a partition it got no rows for: clear it by name."""
+    nothing = spark.createDataFrame([], T.StructType(RAW_AGREEMENTS.fields[:2]))
+    nothing.write.mode("overwrite").parquet(f"{path}/janela_inicio={start}/janela_fim={end}")
+
+
 def document_year(document: Column) -> Column:
     return F.get_json_object(document, "$.ano").cast("int")
 
 
-def load_snapshot(
-    documents: DataFrame, path: str, loaded_at: datetime | str, quarantine_path: str | None = None
-) -> LoadReport:
+def load_snapshot(documents: DataFrame, path: str, loaded_at: datetime | str) -> LoadReport:
     """Replace exactly the years present in ``documents``; other years stay.
 
-    A document without a year belongs to no partition that a later load could
-    replace. Such rows go to ``quarantine_path``, one partition per load, or
-    fail the load when no quarantine is given.
+    Documents without a year are a partition of their own, replaced as a whole
+    by a load that brings any: nothing is lost and nothing doubles, and the
+    data tests see them. The rows of a year are put together before they are
+    written, a large year in several files, so files do not multiply by tasks.
     """
     spark = documents.sparkSession
     stamp = F.lit(str(loaded_at)).cast("timestamp")
     dated = documents.select("dado", stamp.alias("carregado_em"), document_year(F.col("dado")).alias("ano_snapshot"))
-    if quarantine_path is None:
-        dated = dated.withColumn(
-            "ano_snapshot",
-            F.when(F.col("ano_snapshot").isNull(), F.raise_error(F.lit("document without a year"))).otherwise(
-                F.col("ano_snapshot")
-            ),
-        )
+    _evolve_snapshot(spark, path)
     # One row per year; after the write the replaced rows can no longer be counted.
-    before = read_raw_amendments(spark, path).groupBy("ano_snapshot").count().collect()
+    before = table_for_load(spark, path, RAW_AMENDMENTS).groupBy("ano_snapshot").count().collect()
     seen = Observation("snapshot")
     observed = dated.observe(
         seen,
@@ -116,18 +157,33 @@ def load_snapshot(
         F.count("ano_snapshot").alias("dated"),
         F.collect_set("ano_snapshot").alias("years"),
     )
-    replace_partitions(observed.where("ano_snapshot is not null"), path, ("ano_snapshot",))
-    replaced = set(seen.get["years"])
+    replace_partitions(observed.hint("rebalance", "ano_snapshot"), path, ("ano_snapshot",))
+    counts = seen.get
+    inserted, undated = counts["rows"], counts["rows"] - counts["dated"]
+    replaced = set(counts["years"]) | ({None} if undated else set())
     removed = sum(row["count"] for row in before if row["ano_snapshot"] in replaced)
-    inserted = seen.get["dated"]
-    undated = seen.get["rows"] - inserted
-    if undated:
-        lost = dated.where("ano_snapshot is null").select("dado", "carregado_em")
-        replace_partitions(lost, quarantine_path, ("carregado_em",))
     warning = "no amendment in this extract" if inserted == 0 else None
     return LoadReport("emendas", removed, inserted, undated, warning)
 
 
+def _evolve_snapshot(spark: SparkSession, path: str) -> None:
+    """Give a raw table from before the year column that column, filled from its documents.
+
+    The new table is written beside the old one and then takes its place; the
+    old one stays next to it under another name.
+    """
+    if not exists(spark, path):
+        return
+    data = [name for name in children(spark, path) if not name.startswith(("_", "."))]
+    if not data or any(name.startswith("ano_snapshot=") for name in data):
+        return
+    old = spark.read.parquet(path)
+    new = f"{path}.with-ano_snapshot"
+    evolve_add_column(old, new, "ano_snapshot", document_year(F.col("dado")), ("ano_snapshot",))
+    move(spark, path, f"{path}.before-ano_snapshot")
+    move(spark, new, path)
+
+
 def evolve_add_column(
     table: DataFrame, target_path: str, column: str, backfill: Column, partition_by: tuple[str, ...] = ()
 ) -> None:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from outlay.plans import dimensions, facts, staging
 from outlay.schemas import AGREEMENT_FIELDS, AMENDMENT_FIELDS, MONEY
-from outlay.session import new_work_path, spread
+from outlay.session import new_work_path
+from outlay.sources.files import listing
 from outlay.sources.marts import TableFolder
 
 # Fixed values of the stand-in: the day the run is for, and what marks a single author.
@@ -21,14 +22,18 @@ AS_OF = "2001-08-01"
 INDIVIDUAL_PATTERN = "%standard%"
 
 
-_tables: dict[tuple[str, str, str], DataFrame] = {}
+#: Provided tables the stand-in reads.
+SOURCES = ("customer", "nation", "region", "orders", "lineitem", "part", "supplier")
+
+_tables: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A provided table; its files are listed and its schema read once per session."""
-    key = (spark.sparkContext.applicationId, str(sf_dir), name)
+    """A provided table; its schema is read once for the files as they are now."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path, listing(spark, path))
     if key not in _tables:
-        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _tables[key] = spark.read.parquet(path)
     return _tables[key]
 
 
@@ -43,7 +48,7 @@ def typed_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     day = F.col("o_orderdate").cast("date")
     value = _money("o_totalprice")
     released = F.when(F.col("o_orderstatus") == "F", value).otherwise(F.lit(0).cast(MONEY))
@@ -81,7 +86,7 @@ def typed_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as amendments; discounts are what was not paid, returns what was cancelled."""
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     price = _money("l_extendedprice")
@@ -149,10 +154,10 @@ class Marts:
 
     Each table is written to the shared folder the first time it is asked for
     and read back after that, as the products read the marts and never rebuild
-    them. A table lives as long as the session it was written in.
+    them. A changed file of a source table makes new marts.
     """
 
-    _built: dict[tuple[str, str], "Marts"] = {}
+    _built: dict[tuple, "Marts"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -161,7 +166,8 @@ class Marts:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Marts":
-        key = (spark.sparkContext.applicationId, str(sf_dir))
+        files = tuple(listing(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
+        key = (spark.sparkContext.applicationId, str(sf_dir), files)
         if key not in cls._built:
             cls._built[key] = cls(spark, sf_dir)
         return cls._built[key]

@@ -1,8 +1,8 @@
 """Incremental load of landed intervals with Structured Streaming.
 
 The same delete-insert by window as the batch load; the stream's checkpoint
-remembers which landed files were loaded. Every interval folder must be
-complete when the stream sees it. An interval with no records has no line to
+remembers which landed files were loaded. A file that lands in a folder already
+loaded makes the whole folder load again. An interval with no records has no line to
 trigger on, so clearing a window stays with ``load_window``.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from outlay.sources.landing import valid_documents
+from outlay.sources.landing import ingest_intervals
 from outlay.sources.raw import WINDOW_KEYS, replace_partitions
 from outlay.sources.windows import ROLLING_DAYS, rolling_window
 
@@ -32,8 +32,12 @@ def load_landed_intervals(
     stamp = F.lit(str(loaded_at)).cast("timestamp")
 
     def load(batch: DataFrame, _: int) -> None:
+        # The new files say which intervals to load; a window is replaced with all of its folder.
+        ends = sorted(row["janela_fim"] for row in batch.select("janela_fim").distinct().collect())
+        if not ends:
+            return
         start, end = rolling_window(F.col("janela_fim"), days)
-        rows = valid_documents(batch, ("janela_fim",)).select(
+        rows = ingest_intervals(batch.sparkSession, landing, ends).select(
             "dado", stamp.alias("carregado_em"), start.alias("janela_inicio"), end.alias("janela_fim")
         )
         # Replacing whole windows makes a batch that runs twice harmless.

@@ -1,4 +1,6 @@
+import glob
 import json
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -94,17 +96,60 @@ def test_empty_snapshot_removes_nothing(spark, folder):
     assert year_counts(spark, path) == {2024: 1}
 
 
-def test_rows_without_a_year_are_quarantined(spark, folder):
-    path, aside = f"{folder}/raw", f"{folder}/aside"
-    rows = documents(spark, [amendment("a"), amendment("b", ano=None)])
-    for _ in range(2):
-        report = raw.load_snapshot(rows, path, T1, aside)
-        assert (report.inserted, report.quarantined) == (1, 1)
-    assert year_counts(spark, path) == {2024: 1}
-    assert spark.read.parquet(aside).count() == 1
-    with pytest.raises(Exception, match="without a year"):
-        raw.load_snapshot(rows, path, T2)
-    assert year_counts(spark, path) == {2024: 1}
+def test_rows_without_a_year_stay_and_do_not_double(spark, folder):
+    path = f"{folder}/raw"
+    rows = documents(spark, [amendment("a"), amendment("b", ano=None), amendment("c", ano=None)])
+    first, again = (raw.load_snapshot(rows, path, stamp) for stamp in (T1, T2))
+    assert (first.removed, first.inserted, first.undated) == (0, 3, 2)
+    assert (again.removed, again.inserted, again.undated) == (3, 3, 2)
+    assert year_counts(spark, path) == {2024: 1, None: 2}
+    raw.load_snapshot(documents(spark, [amendment("a")]), path, T2)
+    assert year_counts(spark, path) == {2024: 1, None: 2}
+
+
+def test_snapshot_files_do_not_multiply_by_tasks(spark, folder):
+    path = f"{folder}/raw"
+    rows = documents(spark, [amendment(str(n), ano=2020 + n % 3) for n in range(60)]).repartition(20)
+    raw.load_snapshot(rows, path, T1)
+    assert len(glob.glob(f"{path}/ano_snapshot=*/*.parquet")) <= 6
+
+
+def test_reading_what_was_never_loaded_fails(spark, folder):
+    with pytest.raises(FileNotFoundError, match="load an extract first"):
+        raw.read_raw_amendments(spark, f"{folder}/none")
+    assert not glob.glob(f"{folder}/none")
+
+
+def test_a_table_from_before_the_year_column_is_evolved_by_a_load(spark, folder):
+    path = f"{folder}/raw"
+    old = documents(spark, [amendment("a", ano=2023), amendment("b", ano=2024)])
+    old.withColumn("carregado_em", F.lit(T1).cast("timestamp")).write.parquet(path)
+    report = raw.load_snapshot(documents(spark, [amendment("b", ano=2024)]), path, T2)
+    assert (report.removed, report.inserted) == (1, 1)
+    assert year_counts(spark, path) == {2023: 1, 2024: 1}
+    assert spark.read.parquet(f"{path}.before-ano_snapshot").count() == 2
+
+
+def test_many_windows_in_one_load(spark, folder):
+    path, base = f"{folder}/raw", f"{folder}/landing"
+    raw.load_window(documents(spark, [agreement(9)]), path, *B, T1)
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    landing.write_landing(rows, base, A[1])
+    landing.write_landing(rows.limit(0), base, B[1])
+    windows = [tuple(date.fromisoformat(day) for day in window) for window in (A, B)]
+    for removed in ([0, 1], [2, 0]):
+        reports = raw.load_windows(landing.ingest_intervals(spark, base, [A[1], B[1]]), path, windows, T2)
+        assert [(r.removed, r.inserted) for r in reports] == list(zip(removed, [2, 0]))
+    assert window_counts(spark, path) == {A: 2} and reports[1].warning
+
+
+def test_a_late_file_of_an_interval_does_not_replace_the_earlier_ones(spark, folder):
+    base, path, checkpoint = f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint"
+    for ids in ([1, 2, 3], [4]):
+        lines = spark.createDataFrame([('{"id": %d}' % n,) for n in ids], "value string")
+        lines.write.mode("append").text(landing.landing_path(base, A[1]))
+        load_landed_intervals(spark, base, path, checkpoint, T1).awaitTermination()
+    assert window_counts(spark, path) == {A: 4}
 
 
 def test_evolve_add_column(spark, folder):

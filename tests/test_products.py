@@ -10,7 +10,7 @@ from outlay.operators.quality import DataTest, DataTestFailure, gate, run_tests
 from outlay.operators.ranking import user_order
 from outlay.plans import dashboard, dimensions, facts, products, staging
 from outlay.plans.contract import CONTRACT
-from outlay.sources.documents import write_json_object, write_json_product
+from outlay.sources.documents import read_json_product, utc_stamp, write_json_object, write_json_product
 
 NATAL = {
     "codigoIBGE": "2408102",
@@ -221,17 +221,38 @@ def test_json_documents(star, folder):
     assert empty["orgao_maior_gasto"] is None and empty["numero_convenios"] == 0 and "total_valor" in empty
 
     ranked = products.ranking_orgaos(star["fct_convenios"], star["dim_orgao_superior"])
-    assert write_json_product(ranked, f"{folder}/ranking.json") == "array"
+    write_json_product(ranked, f"{folder}/ranking.json", ["codigo"])
     text = read_document(f"{folder}/ranking.json")
     assert "Ministério" in text
     rows = json.loads(text)
     assert [r["valor_total"] for r in rows] == [400.0, 250.0, 200.0] and rows[2]["sigla"] is None
 
-    assert write_json_product(ranked, f"{folder}/lines.json", max_rows=2) == "lines"
-    lines = [json.loads(line) for line in read_document(f"{folder}/lines.json").splitlines()]
-    assert lines == rows
-    assert write_json_product(ranked.limit(0), f"{folder}/empty.json") == "array"
-    assert read_document(f"{folder}/empty.json").strip() == "[]"
+    write_json_product(ranked.limit(0), f"{folder}/empty.json", ["codigo"])
+    assert json.loads(read_document(f"{folder}/empty.json")) == []
+
+
+def test_a_product_has_the_same_bytes_on_any_number_of_partitions(spark, folder):
+    rows = spark.range(2000).select(F.col("id").alias("codigo"), (F.col("id") % 7).cast("decimal(18,2)").alias("valor"))
+    setting, texts = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("1", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        ordered = rows.repartition(int(n)).orderBy(F.desc("valor"), "codigo")
+        write_json_product(ordered, f"{folder}/{n}.json", ["codigo"])
+        texts.append(read_document(f"{folder}/{n}.json"))
+    spark.conf.set("spark.sql.shuffle.partitions", setting)
+    assert texts[0] == texts[1]
+    assert [r["codigo"] for r in json.loads(texts[0])] == [r["codigo"] for r in ordered.collect()]
+    shown = "codigo long, valor double"
+    assert sorted(read_json_product(spark, f"{folder}/50.json", shown).collect()) == sorted(
+        tuple(r) for r in rows.select("codigo", F.col("valor").cast("double")).collect()
+    )
+
+
+def test_a_stamp_is_utc_with_its_offset():
+    assert utc_stamp("2026-07-20 06:00:00") == utc_stamp("2026-07-20T03:00:00-03:00") == "2026-07-20T06:00:00+00:00"
+    for wrong, error in (("2026-07-20", ValueError), ("soon after dawn", ValueError), (20260720, TypeError)):
+        with pytest.raises(error):
+            utc_stamp(wrong)
 
 
 def test_contract(star, amendments):
