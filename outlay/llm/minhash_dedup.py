@@ -6,10 +6,11 @@
    a band. Classes with an equal band meet in a bucket. A pair of similarity
    0.75 misses all 40 bands with a chance below 3 in 10 million.
 3. A bucket with many members does not emit all pairs. Each member is first
-   compared with one member of its bucket, then with the other centres it has
+   compared with its most similar centre, then with the other centres it has
    met, and only then, where a bucket still holds several components, the
-   members outside its largest component with the rest of the bucket. Pairs
-   inside one component need no link any more; all others are compared, so the
+   members outside its largest component with the members that can be similar
+   enough by what their sets share with others at all. Pairs inside one
+   component need no link any more, and the bound excludes no link, so the
    components are those of all links.
 4. A pair goes on if at least half of the minima agree (at similarity 0.75
    fewer agree with a chance below 1e-11), and is a link if the full sets say so.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.bit_filter import bit_field, passes
@@ -36,6 +37,8 @@ ROWS_PER_BAND = 4
 AGREEING_MINIMA = BANDS * ROWS_PER_BAND // 2
 #: A link: 100 * intersection >= LINK_PERCENT * union.
 LINK_PERCENT = 75
+#: Sizes of one class differ by less than this factor.
+SIZE_STEP = 1.05
 _DOCS_AT_ONCE = 256
 
 
@@ -96,6 +99,20 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return marked.mapInPandas(run, "node long, shingles array<long>").join(nodes, "node", "left_semi")
 
 
+def _stars(shared: DataFrame) -> DataFrame:
+    """``a, b``: a centre of a bucket and another member of it.
+
+    The centre is the member that meets the most others in all its buckets:
+    in a group of near copies that is close to the text they come from.
+    """
+    meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    centre = F.max(F.struct(F.col("meets"), (-F.col("node")).alias("first"))).alias("top")
+    centres = shared.join(meets, "node").groupBy("band", "value").agg(centre)
+    centres = centres.select("band", "value", (-F.col("top.first")).alias("a"))
+    stars = shared.join(centres, ["band", "value"]).select("a", F.col("node").alias("b"))
+    return stars.where("a <> b").distinct()
+
+
 def _agreeing(left: pd.Series, right: pd.Series) -> pd.Series:
     """How many minima two signatures share."""
     if not len(left):
@@ -134,16 +151,48 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def _remaining(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that share a bucket, in different components: members outside the
-    bucket's largest component with every member of another component."""
+def _found_elsewhere(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, n, c``: the size of each node's set, and how many of its shingles another of the nodes has."""
+    members = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    common = members.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    counts = members.join(common.select("shingle"), "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("c"))
+    sizes = sets.join(nodes, "node", "left_semi").select("node", F.size("shingles").alias("n"))
+    return sizes.join(counts, "node").select("node", F.col("n").cast("long").alias("n"), "c")
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(SIZE_STEP)))).cast("int")
+
+
+def _remaining(work: WorkTables, shared: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that share a bucket, in different components, and may be a link.
+
+    One of the two is outside its bucket's largest component. Shingles that no
+    other node in question has cannot be common to a pair, so a set of size n
+    with c others shares at most c; this bounds the size of a partner, and only
+    members of fitting size meet. Most members of a large group that belong to
+    no component have own shingles and so meet few or none.
+    """
     placed = shared.join(roots, "node", "left").select("band", "value", "node", F.coalesce("root", "node").alias("root"))
     sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
     mixed = mixed.where("roots > 1").select("band", "value", F.col("top.root").alias("largest"))
-    placed = placed.join(mixed, ["band", "value"])
-    outside = placed.where("root <> largest").select("band", "value", F.col("node").alias("x"), F.col("root").alias("root_x"))
-    pairs = outside.join(placed, ["band", "value"]).where("root <> root_x")
+    placed = work.keep(placed.join(mixed, ["band", "value"]), "mixed")
+    bounds = work.keep(_found_elsewhere(sets, placed.select("node").distinct()), "bounds")
+    open_nodes = bounds.where(100 * F.col("c") >= LINK_PERCENT * F.col("n"))
+    placed = placed.join(open_nodes, "node")
+    ratio = LINK_PERCENT / 100
+    least = F.greatest(F.floor(F.col("n") * ratio), F.lit(1))
+    most = F.ceil(F.col("c") * (1 + 1 / ratio) - F.col("n"))
+    outside = placed.where("root <> largest").select(
+        "band", "value", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"),
+        F.explode(F.sequence(_size_class(least), F.greatest(_size_class(most), _size_class(least)))).alias("size"),
+    )
+    others = placed.select("band", "value", "node", "root", "n", "c", _size_class(F.col("n")).alias("size"))
+    common = F.least("c", "c_x")
+    pairs = outside.join(others, ["band", "value", "size"]).where(
+        (F.col("root") != F.col("root_x")) & (100 * common >= LINK_PERCENT * (F.col("n") + F.col("n_x") - common))
+    )
     return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
@@ -169,10 +218,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    met = banded.groupBy("band", "value").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-    met = work.keep(met.where("centre < last").select("band", "value", "centre"), "met")
+    met = banded.groupBy("band", "value").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+    met = work.keep(met.where("low < high").select("band", "value", "n"), "met")
     shared = work.keep(banded.join(met, ["band", "value"]), "shared")
-    stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    stars = work.keep(_stars(shared), "stars")
     likely = work.keep(_likely(stars, nodes), "likely")
 
     sets = work.keep(_sets(docs, shared.select("node").distinct()), "sets")
@@ -181,7 +230,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(work, links)
     more = work.keep(_links(_across(likely, roots), sets), "links")
     roots = components(work, _star_edges(roots).unionByName(more))
-    rest = work.keep(_remaining(shared.drop("centre"), roots).join(stars, ["a", "b"], "left_anti"), "rest")
+    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = work.keep(_remaining(work, shared, roots, sets).join(tested, ["a", "b"], "left_anti"), "rest")
     last = work.keep(_links(_likely(rest, nodes), sets), "links")
     roots = components(work, _star_edges(roots).unionByName(last))
 
