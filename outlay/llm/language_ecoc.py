@@ -146,7 +146,8 @@ def _sample(docs: DataFrame) -> DataFrame:
     # The limit is applied before and after the exchange, so few rows per language and task move.
     chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
     chosen = chosen.where(F.col("place") <= SAMPLE_PER_LANGUAGE).drop("place").distinct()
-    return known.join(chosen, ["doc_id", "lang"], "left_semi")
+    # Two numbers for each of at most SAMPLE_PER_LANGUAGE documents per language.
+    return known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
 
 def train(docs: DataFrame) -> LanguageModel:
