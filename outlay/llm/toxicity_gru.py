@@ -33,7 +33,7 @@ from outlay.llm.shingles import WordHashes, shingle_set
 #: Labelled documents per class in the training sample.
 SAMPLE_PER_CLASS = 4000
 WINDOW = 24
-STRIDE = 12
+STRIDE = 16
 THRESHOLD = 0.5
 HIDDEN = 8
 INPUTS = 7
@@ -57,8 +57,12 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode().split()
 
 
+def framed_word(word: bytes) -> bytes:
+    return b"^" + word[:60] + b"$"
+
+
 def pieces_of(word: bytes) -> list[bytes]:
-    framed = b"^" + word[:60] + b"$"
+    framed = framed_word(word)
     return [framed[i : i + size] for size in PIECE_SIZES for i in range(len(framed) - size + 1)]
 
 
@@ -69,37 +73,52 @@ class Evidence:
     words: dict[bytes, tuple[float, int]] = field(default_factory=dict)
     pieces: dict[bytes, tuple[float, int]] = field(default_factory=dict)
 
-    def inputs(self, raw: bytes) -> list[float]:
+    def beginnings(self) -> dict[bytes, list[int]]:
+        """First signs of known pieces -> the lengths of the pieces that begin so."""
+        found: dict[bytes, list[int]] = {}
+        for piece in self.pieces:
+            found.setdefault(piece[: PIECE_SIZES[0]], []).append(len(piece))
+        return {sign: sorted(set(sizes)) for sign, sizes in found.items()}
+
+    def inputs(self, raw: bytes, beginnings: dict[bytes, list[int]]) -> tuple[float, ...]:
+        """Numbers of one word; pieces that are not known count as 0."""
         word = word_form(raw)
         odds, n = self.words.get(word, (0.0, 0))
-        known = [self.pieces.get(piece, (0.0, 0))[0] for piece in pieces_of(word)] or [0.0]
-        return [
-            odds / 2,
-            math.log1p(n) / 4,
-            max(known) / 2,
-            min(known) / 2,
-            sum(known) / len(known) / 2,
-            min(len(word), 20) / 20,
-            1.0,
-        ]
+        framed, step = framed_word(word), PIECE_SIZES[0]
+        high = low = total = 0.0
+        for i in range(len(framed) - step + 1):
+            sizes = beginnings.get(framed[i : i + step])
+            if sizes:
+                for size in sizes:
+                    known = self.pieces.get(framed[i : i + size])
+                    if known is not None and i + size <= len(framed):
+                        total += known[0]
+                        high, low = max(high, known[0]), min(low, known[0])
+        count = sum(max(len(framed) - size + 1, 0) for size in PIECE_SIZES) or 1
+        return odds / 2, math.log1p(n) / 4, high / 2, low / 2, total / count / 2, min(len(word), 20) / 20, 1.0
 
 
 class WordTable(dict):
     """word -> row of inputs, computed once per distinct word."""
 
     def __init__(self, evidence: Evidence) -> None:
-        self.evidence = evidence
-        self.rows: list[list[float]] = [[0.0] * INPUTS]  # row 0: no word
+        self.evidence, self.beginnings = evidence, evidence.beginnings()
+        self._rows = np.zeros((1024, INPUTS), dtype=np.float32)  # row 0: no word
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self._rows[: len(self) + 1]
 
     def __missing__(self, word: bytes) -> int:
-        self.rows.append(self.evidence.inputs(word))
-        self[word] = at = len(self.rows) - 1
+        self[word] = at = len(self) + 1
+        if at >= len(self._rows):
+            self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+        self._rows[at] = self.evidence.inputs(word, self.beginnings)
         return at
 
     def turn(self) -> None:
         if len(self) > _REMEMBERED_WORDS:
             self.clear()
-            del self.rows[1:]
 
     def windows(self, words: list[bytes]) -> np.ndarray:
         """Row numbers of all overlapping windows, filled up with 0; a text without words is one empty window."""
@@ -302,7 +321,7 @@ def _training_windows(sample: DataFrame, evidence: dict[int, Evidence]) -> pd.Da
                 table = tables[half]
                 table.turn()
                 windows = table.windows(words_of(text))
-                inputs = np.asarray(table.rows, dtype=np.float32)[windows]
+                inputs = table.rows[windows]
                 best = int(inputs[:, :, [0, 2]].max(axis=(1, 2)).argmax())
                 for at in {best, (best + 1 + doc_id % max(1, len(windows) - 1)) % len(windows)} if label == 0 else {best}:
                     rows.append((doc_id, label, inputs[at].tobytes(), (windows[at] > 0).tobytes()))
@@ -321,7 +340,7 @@ def _highest(texts: pd.Series, table: WordTable, network: Network) -> np.ndarray
         nonlocal first
         if waiting:
             counts = np.array([len(w) for w in waiting])
-            odds = network.log_odds(np.asarray(table.rows, dtype=np.float32), np.concatenate(waiting))
+            odds = network.log_odds(table.rows, np.concatenate(waiting))
             result[first:end] = np.maximum.reduceat(odds, np.r_[0, np.cumsum(counts)[:-1]])
             waiting.clear()
         first = end
