@@ -46,7 +46,7 @@ def codewords(languages: int) -> np.ndarray:
     """
     if languages <= MOST_EXHAUSTIVE:
         splits = [(1, *rest) for rest in itertools.product((1, -1), repeat=max(languages - 1, 0)) if -1 in rest]
-        return np.array(splits, dtype=np.int8).reshape(-1, languages).T
+        return np.array(splits, dtype=np.int8).reshape(len(splits), languages).T
     draw = np.random.Generator(np.random.PCG64(languages))
     bits = int(np.ceil(12 * np.log2(languages)))
     best, apart = None, -1
