@@ -37,6 +37,8 @@ ROWS_PER_BAND = 4
 AGREEING_MINIMA = BANDS * ROWS_PER_BAND // 2
 #: A link: 100 * intersection >= LINK_PERCENT * union.
 LINK_PERCENT = 75
+#: Buckets up to this size are compared without a bound first.
+SMALL_BUCKET = 64
 #: Sizes of one class differ by less than this factor.
 SIZE_STEP = 1.05
 _DOCS_AT_ONCE = 256
@@ -164,36 +166,59 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(SIZE_STEP)))).cast("int")
 
 
-def _remaining(work: WorkTables, shared: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def _remaining(work: WorkTables, shared: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that share a bucket, in different components, and may be a link.
 
-    One of the two is outside its bucket's largest component. Shingles that no
-    other node in question has cannot be common to a pair, so a set of size n
-    with c others shares at most c; this bounds the size of a partner, and only
-    members of fitting size meet. Most members of a large group that belong to
-    no component have own shingles and so meet few or none.
+    One of the two is outside its bucket's largest component. In a small bucket
+    all such pairs are compared: a node has at most ``SMALL_BUCKET`` partners
+    there. In a larger one shingles count: those that no other node in question
+    has cannot be common to a pair, so a set of size n with c others shares at
+    most c. This bounds a partner's size, and only members of fitting size meet,
+    in the first bucket that they share. Most members of a large group that
+    belong to no component have own shingles and so meet few or none.
     """
     placed = shared.join(roots, "node", "left").select("band", "value", "node", F.coalesce("root", "node").alias("root"))
     sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
-    mixed = mixed.where("roots > 1").select("band", "value", F.col("top.root").alias("largest"))
+    mixed = sizes.groupBy("band", "value").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots"), F.sum("n").alias("members")
+    )
+    mixed = mixed.where("roots > 1").select("band", "value", F.col("top.root").alias("largest"), "members")
     placed = work.keep(placed.join(mixed, ["band", "value"]), "mixed")
+    small = placed.where(F.col("members") <= SMALL_BUCKET).drop("members")
+    pairs = _outside(small).join(small, ["band", "value"]).where(_once())
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).unionByName(
+        _remaining_in_large(work, placed.where(F.col("members") > SMALL_BUCKET), nodes, sets)
+    ).distinct()
+
+
+def _outside(placed: DataFrame, *more: Column) -> DataFrame:
+    """Members outside the largest component, under other names."""
+    names = {"node": "x", "root": "root_x", "n": "n_x", "c": "c_x", "bands": "bands_x"}
+    outside = placed.where("root <> largest").drop("largest")
+    kept = [F.col(c).alias(names.get(c, c)) for c in outside.columns]
+    return outside.select(*kept, *more)
+
+
+def _once() -> Column:
+    """Different components, and of two members outside only one order."""
+    return (F.col("root") != F.col("root_x")) & ((F.col("root") == F.col("largest")) | (F.col("x") < F.col("node")))
+
+
+def _remaining_in_large(work: WorkTables, placed: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     bounds = work.keep(_found_elsewhere(sets, placed.select("node").distinct()), "bounds")
-    open_nodes = bounds.where(100 * F.col("c") >= LINK_PERCENT * F.col("n"))
-    placed = placed.join(open_nodes, "node")
+    open_nodes = bounds.where(100 * F.col("c") >= LINK_PERCENT * F.col("n")).join(nodes, "node")
+    placed = placed.drop("members").join(open_nodes, "node")
     ratio = LINK_PERCENT / 100
-    least = F.greatest(F.floor(F.col("n") * ratio), F.lit(1))
-    most = F.ceil(F.col("c") * (1 + 1 / ratio) - F.col("n"))
-    outside = placed.where("root <> largest").select(
-        "band", "value", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"),
-        F.explode(F.sequence(_size_class(least), F.greatest(_size_class(most), _size_class(least)))).alias("size"),
-    )
-    others = placed.select("band", "value", "node", "root", "n", "c", _size_class(F.col("n")).alias("size"))
+    least = _size_class(F.greatest(F.floor(F.col("n") * ratio), F.lit(1)))
+    most = _size_class(F.greatest(F.ceil(F.col("c") * (1 + 1 / ratio) - F.col("n")), F.lit(1)))
+    outside = _outside(placed, F.explode(F.sequence(least, F.greatest(least, most))).alias("size"))
+    others = placed.withColumn("size", _size_class(F.col("n")))
     common = F.least("c", "c_x")
-    pairs = outside.join(others, ["band", "value", "size"]).where(
-        (F.col("root") != F.col("root_x")) & (100 * common >= LINK_PERCENT * (F.col("n") + F.col("n_x") - common))
-    )
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    fits = 100 * common >= LINK_PERCENT * (F.col("n") + F.col("n_x") - common)
+    equal = F.zip_with("bands", "bands_x", lambda left, right: left == right)
+    first = F.array_position(equal, True) == F.col("band") + 1
+    pairs = outside.join(others, ["band", "value", "size"]).where(_once() & fits & first)
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -231,7 +256,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = work.keep(_links(_across(likely, roots), sets), "links")
     roots = components(work, _star_edges(roots).unionByName(more))
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = work.keep(_remaining(work, shared, roots, sets).join(tested, ["a", "b"], "left_anti"), "rest")
+    rest = work.keep(_remaining(work, shared, roots, nodes, sets).join(tested, ["a", "b"], "left_anti"), "rest")
     last = work.keep(_links(_likely(rest, nodes), sets), "links")
     roots = components(work, _star_edges(roots).unionByName(last))
 

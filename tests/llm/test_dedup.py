@@ -6,7 +6,7 @@ import brute
 import pytest
 from conftest import COPY, REPEATED, ROWS, prose
 
-from outlay.llm import exact_dedup, suffix_dedup
+from outlay.llm import exact_dedup, minhash_dedup, suffix_dedup
 from outlay.llm.common import WorkTables
 from outlay.llm.components import components
 from outlay.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
@@ -62,7 +62,9 @@ def test_exact_stage_keeps_one_row_of_each_text(repeated, empty):
     assert drop_exact_duplicates(empty).count() == 0
 
 
-def test_near_duplicates(awkward, make):
+@pytest.mark.parametrize("small", [64, 1])
+def test_near_duplicates(awkward, make, monkeypatch, small):
+    monkeypatch.setattr(minhash_dedup, "SMALL_BUCKET", small)
     for rows in (ROWS, edited(5, 120)):
         found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(make(rows)).collect()}
         assert found == {i: (n, root, root == i) for i, (n, root) in brute.components(rows).items()}
