@@ -108,17 +108,22 @@ def contaminated(docs, items, span=10):
     """(doc_id, item_id) with a shared masked window and enough agreeing words."""
     masks = ("1110110101", "1101011011", "1011101101")
     words = lambda text: [w for w in re.split(r"[^\w]+|_+", (text or "").lower()) if w]
-    found = set()
+    kept = lambda ws, i, mask: (mask, *(ws[i + k] for k, bit in enumerate(mask) if bit == "1"))
+    found, split = set(), {item_id: words(item) for item_id, item in items}
+    seeds = collections.defaultdict(list)
+    for item_id, q in split.items():
+        for j in range(len(q) - span + 1):
+            for mask in masks:
+                seeds[kept(q, j, mask)].append((item_id, j))
     for doc_id, text in docs:
         d = words(text)
-        for item_id, item in items:
-            q = words(item)
-            diagonals = {
-                i - j
-                for i in range(len(d) - span + 1)
-                for j in range(len(q) - span + 1)
-                if any(all(bit == "0" or d[i + k] == q[j + k] for k, bit in enumerate(mask)) for mask in masks)
-            }
+        hit = collections.defaultdict(set)
+        for i in range(len(d) - span + 1):
+            for mask in masks:
+                for item_id, j in seeds.get(kept(d, i, mask), ()):
+                    hit[item_id].add(i - j)
+        for item_id, diagonals in hit.items():
+            q = split[item_id]
             places, stretch = set(), 0
             for diagonal in diagonals:
                 equal = [j if 0 <= j + diagonal < len(d) and d[j + diagonal] == q[j] else None for j in range(len(q))]
