@@ -31,9 +31,9 @@ from outlay.llm.labelled import is_held_out, training_sample
 from outlay.llm.shingles import WordHashes, shingle_set
 
 #: Labelled documents per class in the training sample.
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2000
 WINDOW = 24
-STRIDE = 16
+STRIDE = 20
 THRESHOLD = 0.5
 HIDDEN = 8
 INPUTS = 7
@@ -42,9 +42,10 @@ PIECE_SIZES = (3, 4, 5)
 #: A word or piece counts if chance explains its documents' labels worse than this (G statistic).
 LEAST_EVIDENCE = 15.0
 _SMOOTHING = 1.0
+_LONGEST = 20
 _WINDOWS_AT_ONCE = 4096
 _REMEMBERED_WORDS = 200_000
-_EPOCHS = 250
+_EPOCHS = 150
 _EDGE = b".,;:!?\"'()[]{}*#%&$<>|-_"
 
 
@@ -95,7 +96,7 @@ class Evidence:
                         total += known[0]
                         high, low = max(high, known[0]), min(low, known[0])
         count = sum(max(len(framed) - size + 1, 0) for size in PIECE_SIZES) or 1
-        return odds / 2, math.log1p(n) / 4, high / 2, low / 2, total / count / 2, min(len(word), 20) / 20, 1.0
+        return odds / 2, math.log1p(n) / 4, high / 2, low / 2, total / count / 2, min(len(word), _LONGEST) / _LONGEST, 1.0
 
 
 class WordTable(dict):
@@ -103,22 +104,39 @@ class WordTable(dict):
 
     def __init__(self, evidence: Evidence) -> None:
         self.evidence, self.beginnings = evidence, evidence.beginnings()
-        self._rows = np.zeros((1024, INPUTS), dtype=np.float32)  # row 0: no word
+        self._start()
+
+    def _start(self) -> None:
+        """Row 0 is no word; the next rows are words of each length that nothing is known about."""
+        self.clear()
+        self._rows = np.zeros((1024, INPUTS), dtype=np.float32)
+        self._rows[1 : 2 + _LONGEST, -2] = np.arange(_LONGEST + 1) / _LONGEST
+        self._rows[1 : 2 + _LONGEST, -1] = 1.0
+        self._used = 2 + _LONGEST
 
     @property
     def rows(self) -> np.ndarray:
-        return self._rows[: len(self) + 1]
+        return self._rows[: self._used]
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self) + 1
-        if at >= len(self._rows):
-            self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-        self._rows[at] = self.evidence.inputs(word, self.beginnings)
+        form, step = word_form(word), PIECE_SIZES[0]
+        framed, known = framed_word(form), self.beginnings
+        if form not in self.evidence.words and not any(
+            framed[i : i + step] in known for i in range(len(framed) - step + 1)
+        ):
+            at = 1 + min(len(form), _LONGEST)
+        else:
+            at = self._used
+            if at >= len(self._rows):
+                self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+            self._rows[at] = self.evidence.inputs(word, known)
+            self._used += 1
+        self[word] = at
         return at
 
     def turn(self) -> None:
         if len(self) > _REMEMBERED_WORDS:
-            self.clear()
+            self._start()
 
     def windows(self, words: list[bytes]) -> np.ndarray:
         """Row numbers of all overlapping windows, filled up with 0; a text without words is one empty window."""
