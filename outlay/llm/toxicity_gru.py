@@ -1,7 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A text is read in overlapping windows of words; every window is scored and the
-highest score counts for the document. A word enters the network as a few
+A text is read in overlapping windows of words, one every ``STRIDE / 2`` words, so
+a passage of up to 15 words lies whole in a window wherever it stands. Every
+window is scored (windows with equal inputs once) and the highest score counts
+for the document. A word enters the network as a few
 numbers: what its spelling (word input) and its three-character pieces
 (character input) say about the labels of the training documents, how much is
 known about it, and its form. Two recurrences read the window in both
@@ -33,6 +35,7 @@ from outlay.llm.shingles import WordHashes, shingle_set
 #: Labelled documents per class in the training sample.
 SAMPLE_PER_CLASS = 2000
 WINDOW = 24
+#: Words from a window of a series to the next; a second series starts in the middle, see ``all_windows``.
 STRIDE = 20
 THRESHOLD = 0.5
 HIDDEN = 8
@@ -46,6 +49,7 @@ _LONGEST = 20
 _WINDOWS_AT_ONCE = 4096
 _REMEMBERED_WORDS = 200_000
 _EPOCHS = 150
+_WINDOW_MIX = np.random.Generator(np.random.PCG64(24)).integers(0, 2**64, WINDOW, dtype=np.uint64)
 _EDGE = b".,;:!?\"'()[]{}*#%&$<>|-_"
 
 
@@ -139,8 +143,21 @@ class WordTable(dict):
             self._start()
 
     def windows(self, words: list[bytes]) -> np.ndarray:
-        """Row numbers of all overlapping windows, filled up with 0; a text without words is one empty window."""
-        ids = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        """Row numbers of one series of windows, filled up with 0; a text without words is one empty window."""
+        return self._series(self._ids(words))
+
+    def all_windows(self, words: list[bytes]) -> np.ndarray:
+        """``windows`` and, of a text of more than one, the series that starts half a stride later."""
+        ids = self._ids(words)
+        if len(ids) <= WINDOW:
+            return self._series(ids)
+        return np.concatenate([self._series(ids), self._series(ids[STRIDE // 2 :])])
+
+    def _ids(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+    @staticmethod
+    def _series(ids: np.ndarray) -> np.ndarray:
         count = max(1, -(-(len(ids) - WINDOW) // STRIDE) + 1)
         padded = np.zeros((count - 1) * STRIDE + WINDOW, dtype=np.int64)
         padded[: len(ids)] = ids
@@ -338,7 +355,7 @@ def _training_windows(sample: DataFrame, evidence: dict[int, Evidence]) -> pd.Da
             for doc_id, label, half, text in zip(batch["doc_id"], batch["label"], batch["half"], batch["text"]):
                 table = tables[half]
                 table.turn()
-                windows = table.windows(words_of(text))
+                windows = table.all_windows(words_of(text))
                 inputs = table.rows[windows]
                 best = int(inputs[:, :, [0, 2]].max(axis=(1, 2)).argmax())
                 for at in {best, (best + 1 + doc_id % max(1, len(windows) - 1)) % len(windows)} if label == 0 else {best}:
@@ -348,6 +365,16 @@ def _training_windows(sample: DataFrame, evidence: dict[int, Evidence]) -> pd.Da
     return sample.mapInPandas(run, "doc_id long, label int, inputs binary, there binary").toPandas()
 
 
+def _distinct(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows, and the number among them of each window; equal hashes are compared in full."""
+    mixed = windows.astype(np.uint64) @ _WINDOW_MIX
+    _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+    distinct = windows[first]
+    if not np.array_equal(distinct[which], windows):
+        return windows, np.arange(len(windows))
+    return distinct, which
+
+
 def _highest(texts: pd.Series, table: WordTable, network: Network) -> np.ndarray:
     """The highest log-odds of each text's windows; many texts go through the network together."""
     result = np.empty(len(texts), dtype=np.float64)
@@ -358,7 +385,8 @@ def _highest(texts: pd.Series, table: WordTable, network: Network) -> np.ndarray
         nonlocal first
         if waiting:
             counts = np.array([len(w) for w in waiting])
-            odds = network.log_odds(table.rows, np.concatenate(waiting))
+            distinct, which = _distinct(np.concatenate(waiting))
+            odds = network.log_odds(table.rows, distinct)[which]
             result[first:end] = np.maximum.reduceat(odds, np.r_[0, np.cumsum(counts)[:-1]])
             waiting.clear()
         first = end
@@ -366,7 +394,7 @@ def _highest(texts: pd.Series, table: WordTable, network: Network) -> np.ndarray
 
     held = 0
     for at, text in enumerate(texts):
-        waiting.append(table.windows(words_of(text)))
+        waiting.append(table.all_windows(words_of(text)))
         held += len(waiting[-1])
         if held > 4 * _WINDOWS_AT_ONCE:
             flush(at + 1)

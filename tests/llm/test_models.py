@@ -155,6 +155,29 @@ def test_windows_overlap_and_cover_all_words():
         assert len(seen) == 1 if n <= 24 else all(a[20:] == b[:4] for a, b in zip(seen, seen[1:]))
 
 
+def test_a_passage_of_half_a_window_and_more_lies_whole_in_a_window():
+    table = toxicity_gru.WordTable(toxicity_gru.Evidence(pieces={b"los": (1.0, 9)}))
+    for n in (12, 25, 34, 35, 44, 45, 100):
+        words = [b"loser%d" % i for i in range(n)]
+        windows = table.all_windows(words).tolist()
+        ids = [table[word] for word in words]
+        for at in range(n - min(n, 15) + 1):
+            passage = ids[at : at + 15]
+            assert any(row[k : k + len(passage)] == passage for row in windows for k in range(25 - len(passage)))
+
+
+def test_equal_windows_are_scored_once_and_alike(monkeypatch):
+    table = toxicity_gru.WordTable(toxicity_gru.Evidence(pieces={b"los": (1.0, 9)}))
+    texts = ["abc " * 400, "loser " + "abc " * 60, "abc " * 24, ""]
+    network, scored = toxicity_gru.Network.start(), []
+    windows = [table.all_windows(toxicity_gru.words_of(text)) for text in texts]
+    alone = [network.log_odds(table.rows, some).max() for some in windows]
+    real = network.log_odds
+    monkeypatch.setattr(network, "log_odds", lambda rows, windows: scored.append(len(windows)) or real(rows, windows))
+    assert np.allclose(toxicity_gru._highest(texts, table, network), alone, atol=1e-5)
+    assert sum(scored) < 12 < len(windows[0])
+
+
 def test_toxicity_of_held_out_documents(make, spark):
     rows = []
     for i in range(400):
