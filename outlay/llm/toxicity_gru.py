@@ -6,7 +6,8 @@ window is scored (windows with equal inputs once) and the highest score counts
 for the document. A word enters the network as a few
 numbers: what its spelling (word input) and its three-character pieces
 (character input) say about the labels of the training documents, how much is
-known about it, and its form. Two recurrences read the window in both
+known about it, and its form; a word of more than 60 bytes (text without spaces,
+links) is several such inputs, which together hold all its pieces. Two recurrences read the window in both
 directions, attention weighs their states, and the weighted sum gives the
 window's log-odds.
 
@@ -42,6 +43,8 @@ HIDDEN = 8
 INPUTS = 7
 #: Lengths of the character pieces of a word, its ends marked.
 PIECE_SIZES = (3, 4, 5)
+#: Bytes of a framed word (its ends marked) that are one input; a longer one is several inputs.
+LONGEST_INPUT = 62
 #: A word or piece counts if chance explains its documents' labels worse than this (G statistic).
 LEAST_EVIDENCE = 15.0
 _SMOOTHING = 1.0
@@ -63,7 +66,13 @@ def words_of(text: str) -> list[bytes]:
 
 
 def framed_word(word: bytes) -> bytes:
-    return b"^" + word[:60] + b"$"
+    return b"^" + word + b"$"
+
+
+def stretches(framed: bytes) -> list[bytes]:
+    """A long framed word in parts that overlap so far that every piece lies whole in one of them."""
+    step = LONGEST_INPUT - PIECE_SIZES[-1] + 1
+    return [framed[at : at + LONGEST_INPUT] for at in range(0, max(len(framed) - PIECE_SIZES[-1] + 1, 1), step)]
 
 
 def pieces_of(word: bytes) -> list[bytes]:
@@ -88,8 +97,14 @@ class Evidence:
     def inputs(self, raw: bytes, beginnings: dict[bytes, list[int]]) -> tuple[float, ...]:
         """Numbers of one word; pieces that are not known count as 0."""
         word = word_form(raw)
-        odds, n = self.words.get(word, (0.0, 0))
-        framed, step = framed_word(word), PIECE_SIZES[0]
+        return self.described(self.words.get(word), framed_word(word), len(word), beginnings)
+
+    def described(
+        self, whole: tuple[float, int] | None, framed: bytes, length: int, beginnings: dict[bytes, list[int]]
+    ) -> tuple[float, ...]:
+        """The same for (a stretch of) a framed word; ``whole`` is what is known of the word itself."""
+        odds, n = whole or (0.0, 0)
+        step = PIECE_SIZES[0]
         high = low = total = 0.0
         for i in range(len(framed) - step + 1):
             sizes = beginnings.get(framed[i : i + step])
@@ -100,7 +115,7 @@ class Evidence:
                         total += known[0]
                         high, low = max(high, known[0]), min(low, known[0])
         count = sum(max(len(framed) - size + 1, 0) for size in PIECE_SIZES) or 1
-        return odds / 2, math.log1p(n) / 4, high / 2, low / 2, total / count / 2, min(len(word), _LONGEST) / _LONGEST, 1.0
+        return odds / 2, math.log1p(n) / 4, high / 2, low / 2, total / count / 2, min(length, _LONGEST) / _LONGEST, 1.0
 
 
 class WordTable(dict):
@@ -122,22 +137,39 @@ class WordTable(dict):
     def rows(self) -> np.ndarray:
         return self._rows[: self._used]
 
-    def __missing__(self, word: bytes) -> int:
-        form, step = word_form(word), PIECE_SIZES[0]
-        framed, known = framed_word(form), self.beginnings
-        if form not in self.evidence.words and not any(
-            framed[i : i + step] in known for i in range(len(framed) - step + 1)
-        ):
-            at = 1 + min(len(form), _LONGEST)
+    def __missing__(self, word: bytes | tuple) -> int:
+        """``word`` as in the text, or what is known of a long word and one of its stretches."""
+        step, known = PIECE_SIZES[0], self.beginnings
+        if isinstance(word, tuple):
+            (whole, framed), length = word, _LONGEST
+        else:
+            form = word_form(word)
+            whole, framed, length = self.evidence.words.get(form), framed_word(form), len(form)
+        if whole is None and not any(framed[i : i + step] in known for i in range(len(framed) - step + 1)):
+            at = 1 + min(length, _LONGEST)
         else:
             at = self._used
             if at >= len(self._rows):
                 self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-            self._rows[at] = self.evidence.inputs(word, known)
+            self._rows[at] = self.evidence.described(whole, framed, length, known)
             self._used += 1
         self[word] = at
         return at
 
+    def _inputs(self, words: list[bytes]) -> list[bytes | tuple]:
+        """Keys of this table: words, and for a long word one key for each stretch of it."""
+        if max(map(len, words), default=0) <= LONGEST_INPUT - 2:
+            return words
+        result: list[bytes | tuple] = []
+        for word in words:
+            framed = framed_word(word_form(word)) if len(word) > LONGEST_INPUT - 2 else b""
+            if len(framed) <= LONGEST_INPUT:
+                result.append(word)
+            else:
+                whole = self.evidence.words.get(framed[1:-1])
+                result.extend((whole, part) for part in stretches(framed))
+        return result
+
     def turn(self) -> None:
         if len(self) > _REMEMBERED_WORDS:
             self._start()
@@ -154,7 +186,8 @@ class WordTable(dict):
         return np.concatenate([self._series(ids), self._series(ids[STRIDE // 2 :])])
 
     def _ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        keys = self._inputs(words)
+        return np.fromiter(map(self.__getitem__, keys), dtype=np.int64, count=len(keys))
 
     @staticmethod
     def _series(ids: np.ndarray) -> np.ndarray:

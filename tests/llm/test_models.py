@@ -178,6 +178,27 @@ def test_equal_windows_are_scored_once_and_alike(monkeypatch):
     assert sum(scored) < 12 < len(windows[0])
 
 
+def test_long_words_are_read_to_their_end():
+    table = toxicity_gru.WordTable(toxicity_gru.Evidence({b"w" * 200: (2.0, 9)}, {b"xyz": (1.0, 9), b"ab$": (3.0, 9)}))
+
+    def described(*words):
+        windows = table.windows(list(words))
+        return table.rows[windows]
+
+    for n in (0, 20, 57, 58, 59, 60, 61, 62, 116, 117, 118, 300, 5000):
+        assert described(b"q", b"-" * 70 + b"m" * n + b"xyzm", b"q")[:, :, 2].max() == 0.5
+        framed = toxicity_gru.framed_word(b"0123456789ab" * (n // 12) + b"0" * (n % 12))
+        parts = toxicity_gru.stretches(framed)
+        for size in toxicity_gru.PIECE_SIZES:
+            pieces = {framed[i : i + size] for i in range(len(framed) - size + 1)}
+            assert pieces == {part[i : i + size] for part in parts for i in range(len(part) - size + 1)}
+        assert pieces <= set(toxicity_gru.pieces_of(framed[1:-1]))
+    # No end mark inside a word, and the word as a whole is known in each of its stretches.
+    assert described(b"m" * 58 + b"ab" + b"m" * 30)[:, :, 2].max() == 0
+    assert described(b"m" * 300 + b"ab")[:, :, 2].max() == 1.5
+    assert (described(b"w" * 200)[0, :4, 0] == 1.0).all()
+
+
 def test_toxicity_of_held_out_documents(make, spark):
     rows = []
     for i in range(400):
