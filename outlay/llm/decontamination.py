@@ -10,6 +10,15 @@ A document is contaminated by an item if at least 75 percent of the item's
 words agree on the hit diagonals together, or if 20 words in a row of one
 diagonal contain 15 that agree (a quoted part of a longer item).
 
+The masks alone miss diagonals on which every few words differ, so a light seed
+finds each diagonal that satisfies the rule by itself, without exception (up to
+hash collisions). Of at least 10 words of which at most a quarter differ, three
+in a row agree (at most m of n differ, and (n - m) / (m + 1) > 2); an item can
+be cut into blocks of 10 to 19 words, one of which is such a place, and 20 words
+with 15 that agree are one. Of the 23 words around those three (10 on each side)
+at least 8 agree in either case. Only pairs that reach this leave the join; they
+count if their diagonal alone satisfies the rule.
+
 Words are lower-cased runs of letters and digits. Everything is built-in
 column work: the window hashes are made inside one generated stage, and
 documents never move. The seeds of the benchmark are broadcast in blocks of
@@ -32,6 +41,10 @@ BLOCK_SEEDS = 1_000_000
 AGREEING_PERCENT = 75
 STRETCH_WORDS = 20
 STRETCH_AGREEING = 15
+#: The light seed: words in a row, words looked at on each side, and how many of those agree at least.
+LIGHT_SPAN = 3
+LIGHT_SIDE = 10
+LIGHT_AGREEING = 8 - LIGHT_SPAN
 
 
 def _word_hashes(text: Column) -> Column:
@@ -63,7 +76,7 @@ def _items(work: WorkTables, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
-    """``doc_id, item, diagonal, part``: distinct hit diagonals, with the document's words along the item."""
+    """``doc_id, item, diagonal, part``: hit diagonals, with the document's words along the item."""
     seeds = _windows(items, "item").select("item", F.col("at").alias("item_at"), F.size("h").alias("item_words"), "seed")
     seeds = work.keep(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
@@ -78,7 +91,50 @@ def _hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
         found.append(
             joined.select("doc_id", "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
         )
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item", "diagonal").agg(F.first("part").alias("part"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _light_seed(at: Column) -> Column:
+    return F.xxhash64(F.lit(-1), *[F.get(F.col("h"), at + i) for i in range(LIGHT_SPAN)])
+
+
+def _around(at: Column) -> list[Column]:
+    """The words on both sides of a light seed; null outside the text."""
+    places = [*range(-LIGHT_SIDE, 0), *range(LIGHT_SPAN, LIGHT_SPAN + LIGHT_SIDE)]
+    return [F.get(F.col("h"), at + i) for i in places]
+
+
+def _light_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
+    """The same for pairs whose words around three equal ones mostly agree."""
+    starts = F.explode(F.sequence(F.lit(0), F.size("h") - LIGHT_SPAN)).alias("at")
+    placed = items.where(F.size("h") >= SPAN).select("item", "h", starts)
+    seeds = work.keep(
+        placed.select(
+            "item",
+            F.col("at").alias("item_at"),
+            F.size("h").alias("item_words"),
+            F.array(*_around(F.col("at"))).alias("around"),
+            _light_seed(F.col("at")).alias("seed"),
+        ),
+        "light-seeds",
+    )
+    blocks = max(1, -(-4 * seeds.count() // BLOCK_SEEDS))  # their rows are longer
+    windows = docs.where(F.size("h") >= LIGHT_SPAN).select("doc_id", "h", starts)
+    windows = windows.select("doc_id", "h", "at", _light_seed(F.col("at")).alias("seed"))
+    # Written out word by word, so that it stays generated code inside the join.
+    equal = [F.coalesce(w == F.col("around")[i], F.lit(False)).cast("int") for i, w in enumerate(_around(F.col("at")))]
+    found = []
+    for block in range(blocks):
+        part = seeds.where(F.pmod("seed", F.lit(blocks)) == block).withColumnRenamed("seed", "item_seed")
+        near = (F.col("seed") == F.col("item_seed")) & (reduce(Column.__add__, equal) >= LIGHT_AGREEING)
+        joined = windows.join(F.broadcast(part), near)
+        diagonal = F.col("at") - F.col("item_at")
+        begin = F.greatest(diagonal, F.lit(0))
+        length = F.least(diagonal + F.col("item_words"), F.size("h")) - begin
+        found.append(
+            joined.select("doc_id", "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -92,29 +148,41 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     work = WorkTables(docs.sparkSession, "decontamination")
     items, ids = _items(work, benchmark)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _word_hashes(docs["text"]).alias("h"))
-    hits = work.keep(_hits(texts, items, work), "hits")
+    both = _hits(texts, items, work).withColumn("light", F.lit(False)).unionByName(
+        _light_hits(texts, items, work).withColumn("light", F.lit(True))
+    )
+    hits = both.groupBy("doc_id", "item", "diagonal").agg(F.first("part").alias("part"), F.min("light").alias("light"))
+    hits = work.keep(hits, "hits")
     # The item's position that the part's first word stands at.
     first = F.greatest(-F.col("diagonal"), F.lit(0))
     equal = F.transform(
         "part", lambda word, i: F.when(word == F.get(F.col("h"), (first + i).cast("int")), first + i)
     )
     agreeing = hits.join(items, "item").select(
-        "doc_id", "item", F.size("h").alias("item_words"), equal.alias("equal")
+        "doc_id", "item", F.size("h").alias("item_words"), equal.alias("equal"), "light"
     )
     windows = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("equal") - STRETCH_WORDS + 1, F.lit(1))),
         lambda at: F.size(F.filter(F.slice("equal", at, STRETCH_WORDS), lambda place: place.isNotNull())),
     )
-    per_item = agreeing.select(
-        "doc_id", "item", "item_words", F.array_max(windows).alias("stretch"), F.array_compact("equal").alias("places")
-    ).groupBy("doc_id", "item", "item_words").agg(
+
+    def enough(agreeing_words: Column, stretch: Column) -> Column:
+        return (100 * agreeing_words >= AGREEING_PERCENT * F.col("item_words")) | (stretch >= STRETCH_AGREEING)
+
+    per_diagonal = agreeing.select(
+        "doc_id",
+        "item",
+        "item_words",
+        "light",
+        F.array_max(windows).alias("stretch"),
+        F.array_compact("equal").alias("places"),
+    )
+    per_diagonal = per_diagonal.where(~F.col("light") | enough(F.size("places"), F.col("stretch")))
+    per_item = per_diagonal.groupBy("doc_id", "item", "item_words").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("agreeing_words"),
         F.max("stretch").alias("best_stretch"),
     )
-    enough = (100 * F.col("agreeing_words") >= AGREEING_PERCENT * F.col("item_words")) | (
-        F.col("best_stretch") >= STRETCH_AGREEING
-    )
-    return per_item.where(enough).join(ids, "item").select(
+    return per_item.where(enough(F.col("agreeing_words"), F.col("best_stretch"))).join(ids, "item").select(
         "doc_id",
         "item_id",
         F.col("item_words").cast("long").alias("item_words"),

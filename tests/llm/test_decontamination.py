@@ -39,6 +39,42 @@ def test_contaminated_documents(make, spark, monkeypatch, block):
     assert len(found) == len(set(found)) and set(found) == brute.contaminated(docs, items) and found
 
 
+def on_one_diagonal(docs, items):
+    """(doc_id, item_id) by the rule on any single diagonal, without masks or seeds."""
+    words = lambda text: text.lower().split()
+    found = set()
+    for item_id, item in items:
+        q = words(item)
+        for doc_id, text in docs:
+            d = words(text)
+            for diagonal in range(1 - len(q), len(d)):
+                equal = [0 <= j + diagonal < len(d) and d[j + diagonal] == q[j] for j in range(len(q))]
+                stretch = max(sum(equal[a : a + 20]) for a in range(max(1, len(q) - 19)))
+                if 4 * sum(equal) >= 3 * len(q) or stretch >= 15:
+                    found.add((doc_id, item_id))
+                    break
+    return found
+
+
+def test_no_pattern_of_differing_words_is_missed(make, spark):
+    draw = random.Random(12)
+    items = [(n, " ".join(f"w{draw.randrange(400)}" for _ in range(n))) for n in (10, 11, 13, 15, 18, 19, 20, 29, 38, 59)]
+    docs = []
+    for n, item in items:
+        for k in range(14):
+            words = item.split()
+            places = range(k, n, 4) if k < 4 else draw.sample(range(n), n // 4 + (k > 11))
+            for at in places:
+                words[at] = "other"
+            before = [f"w{draw.randrange(400)}" for _ in range(draw.choice([0, 3, 30]))]
+            docs.append((n * 100 + k, " ".join(before + words + before[::-1])))
+    docs.append((1, " ".join(items[-1][1].split()[20:40][::1][:15] + ["x"] * 5)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in contaminated_documents(make(docs), benchmark).collect()}
+    exact, masks = on_one_diagonal(docs, items), brute.contaminated(docs, items)
+    assert found == exact | masks and len(exact - masks) > 10
+
+
 def test_contamination_of_awkward_rows(repeated, empty, spark):
     benchmark = spark.createDataFrame([(1, ROWS[4][1][:300]), (None, ROWS[4][1]), (2, None)], "item_id long, text string")
     found = {r.doc_id for r in contaminated_documents(repeated, benchmark).collect()}
