@@ -19,7 +19,11 @@ with 15 that agree are one. Of the 23 words around those three (10 on each side)
 at least 8 agree in either case. Only pairs that reach this leave the join; they
 count if their diagonal alone satisfies the rule.
 
-Words are lower-cased runs of letters and digits. Everything is built-in
+An item of fewer than 10 words counts if all its words stand in the document in
+a row: such windows of the document are joined on the hash of the whole item.
+
+Words are lower-cased runs of letters and digits; of scripts written without
+spaces every letter is a word. Everything is built-in
 column work: the window hashes are made inside one generated stage, and
 documents never move. The seeds of the benchmark are broadcast in blocks of
 at most ``BLOCK_SEEDS`` rows, whatever the benchmark's size.
@@ -38,6 +42,8 @@ from outlay.llm.common import WorkTables
 MASKS = ("1110110101", "1101011011", "1011101101")
 SPAN = 10
 BLOCK_SEEDS = 1_000_000
+#: Letters of scripts written without spaces.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 AGREEING_PERCENT = 75
 STRETCH_WORDS = 20
 STRETCH_AGREEING = 15
@@ -49,7 +55,9 @@ LIGHT_AGREEING = 8 - LIGHT_SPAN
 
 def _word_hashes(text: Column) -> Column:
     """64-bit hashes of the words of a text, in order; null and wordless texts have none."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
+    words = F.split(apart, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(words, lambda word: word != ""), lambda word: F.xxhash64(word))
 
 
@@ -70,8 +78,9 @@ def _items(work: WorkTables, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), _word_hashes(F.col("text")).alias("h")), "benchmark"
     )
     named = hashed.select("item_id", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(1), "h").alias("k2"), "h")
-    groups = named.groupBy("k1", "k2").agg(F.min("item_id").alias("item"), F.first("h").alias("h"))
-    groups = work.keep(groups.where("item IS NOT NULL"), "items")
+    groups = named.groupBy("k1", "k2").agg(F.first("h").alias("h"))
+    # Numbered and written, so the numbers stay; an item needs no id.
+    groups = work.keep(groups.withColumn("item", F.monotonically_increasing_id()), "items")
     return groups.select("item", "h"), named.join(groups.select("k1", "k2", "item"), ["k1", "k2"]).select("item_id", "item")
 
 
@@ -137,19 +146,41 @@ def _light_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFram
     return reduce(DataFrame.unionByName, found)
 
 
+def _short_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
+    """``doc_id, item, diagonal, part`` for items of fewer than ``SPAN`` words that stand whole in a document.
+
+    The diagonal is 0 and the part the item's own words, whatever their place.
+    """
+    short = items.where(F.size("h").between(1, SPAN - 1))
+    lengths = sorted(row["n"] for row in short.select(F.size("h").alias("n")).distinct().collect())
+    seeds = work.keep(short.select("item", F.xxhash64(F.size("h"), "h").alias("item_seed")), "short-seeds")
+    blocks = max(1, -(-seeds.count() // BLOCK_SEEDS)) if lengths else 0
+    found = [docs.join(items.limit(0), F.lit(False)).select("doc_id", "item", F.lit(0).alias("diagonal"), docs["h"].alias("part"))]
+    for n in lengths:
+        starts = F.explode(F.sequence(F.lit(0), F.size("h") - n)).alias("at")
+        window = F.slice("h", F.col("at") + 1, n)
+        windows = docs.where(F.size("h") >= n).select("doc_id", "h", starts)
+        windows = windows.select("doc_id", window.alias("part")).withColumn("seed", F.xxhash64(F.lit(n), "part"))
+        for block in range(blocks):
+            part = seeds.where(F.pmod("item_seed", F.lit(blocks)) == block)
+            joined = windows.join(F.broadcast(part), F.col("seed") == F.col("item_seed"))
+            found.append(joined.select("doc_id", "item", F.lit(0).alias("diagonal"), "part"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, item_words, agreeing_words, best_stretch.
 
     ``best_stretch`` is the largest number of agreeing words among 20 in a row
-    of one diagonal. Null and short texts (fewer than 10 words) on either side
-    hit nothing; items with the same words are all reported; rows that share a
+    of one diagonal. Null and wordless texts hit nothing; items without an id
+    are reported with a null item_id; items with the same words are all reported; rows that share a
     doc_id, null included, are one document. Empty tables give no rows.
     """
     work = WorkTables(docs.sparkSession, "decontamination")
     items, ids = _items(work, benchmark)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _word_hashes(docs["text"]).alias("h"))
     both = _hits(texts, items, work).withColumn("light", F.lit(False)).unionByName(
-        _light_hits(texts, items, work).withColumn("light", F.lit(True))
+        _light_hits(texts, items, work).unionByName(_short_hits(texts, items, work)).withColumn("light", F.lit(True))
     )
     hits = both.groupBy("doc_id", "item", "diagonal").agg(F.first("part").alias("part"), F.min("light").alias("light"))
     hits = work.keep(hits, "hits")

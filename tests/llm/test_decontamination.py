@@ -75,6 +75,20 @@ def test_no_pattern_of_differing_words_is_missed(make, spark):
     assert found == exact | masks and len(exact - masks) > 10
 
 
+def test_short_unspaced_and_nameless_items(make, spark):
+    items = [(1, "What is the capital of France?"), (2, "Sky"), (3, "東京は日本の首都であり、人口が最も多い都市です。"), (None, "who wrote this short line"), (None, prose(77, 30)), (4, "one two three four five six seven eight nine")]
+    docs = [
+        (1, "q: what IS the capital, of france"), (2, "what is the capital of spain france"), (3, "blue sky here"),
+        (4, "前置き。東京は日本の首都であり、人口が最も多い都市です。続き"), (5, "he asked who wrote this short line today"),
+        (6, prose(77, 30) + " end"), (7, "one two three four five six seven eight nine"), (8, "one two three four five six seven nine eight"),
+        (9, "東京"), (10, ""), (11, None),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(((r.doc_id, r.item_id) for r in contaminated_documents(make(docs), benchmark).collect()), key=str)
+    assert found == [(1, 1), (3, 2), (4, 3), (5, None), (6, None), (7, 4)]
+    assert {r.doc_id for r in drop_contaminated(make(docs), benchmark).collect()} == {2, 8, 9, 10, 11}
+
+
 def test_contamination_of_awkward_rows(repeated, empty, spark):
     benchmark = spark.createDataFrame([(1, ROWS[4][1][:300]), (None, ROWS[4][1]), (2, None)], "item_id long, text string")
     found = {r.doc_id for r in contaminated_documents(repeated, benchmark).collect()}
