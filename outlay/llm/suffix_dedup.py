@@ -34,6 +34,7 @@ from outlay.llm.common import WorkTables, id_and_text
 #: Cores with more contexts than this are compared by a shuffle of their strings.
 HOT_CORE = 20_000
 _CONTEXTS_AT_ONCE = 2048
+_REMEMBERED = 20_000
 _PLACE = "doc_id long, text_hash long, first int, last int"
 
 
@@ -119,13 +120,25 @@ def _likely_segments(texts: DataFrame, cores: DataFrame) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes around the anchors of the wanted segments (and of a few more that hash alike)."""
+    """The bytes around the anchors of the wanted segments (and of a few more that hash alike).
+
+    Of byte-identical copies of a text a task gives a segment once for every
+    ``_REMEMBERED`` others: its context occurs again, so all its places are
+    known to be repeated and one stands for all.
+    """
     field = texts.sparkSession.sparkContext.broadcast(bit_field(wanted, "place"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
+            given: set[tuple[int, int, bytes]] = set()
             for doc_id, text_hash, part in _each(batches):
                 some = np.flatnonzero(passes(field.value, _place_hash(text_hash, part.anchor)))
+                if len(some):
+                    if len(given) > _REMEMBERED:
+                        given.clear()
+                    keys = [(text_hash, *at) for at in zip(part.anchor[some].tolist(), part.context_bytes(some))]
+                    some = some[[key not in given for key in keys]]
+                    given.update(keys)
                 if len(some):
                     yield (
                         doc_id,
@@ -255,9 +268,9 @@ def repeated_starts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     single = work.keep(known.where("n = 1").select("core", "place").join(cores, "core", "left_semi"), "single")
     once = multiple.select("core", "place").join(single.select("core").distinct(), "core", "left_semi")
     wanted = work.keep(single.unionByName(once), "wanted")
-    hot = wanted.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CORE).select("core")
-    hot = work.keep(hot, "hot")
     contexts = work.keep(_contexts(texts, wanted), "contexts")
+    hot = contexts.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CORE).select("core")
+    hot = work.keep(hot, "hot")
     runs = whole.select("doc_id", "text_hash", "first", "last").unionByName(
         _compared(contexts.join(hot, "core", "left_anti"))
     )

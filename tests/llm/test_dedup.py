@@ -112,6 +112,16 @@ def test_removed_strings(make, monkeypatch, hot):
     assert found == dict(zip([i for i, _ in rows], brute.removed([text for _, text in rows])))
 
 
+def test_contexts_of_identical_copies_are_given_once_a_task(make, monkeypatch):
+    near = COPY[:500] + "changed" + COPY[500:]
+    rows = [(i, COPY) for i in range(200)] + [(900, near)]
+    given, real = [], suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda *a: given.append(real(*a)) or given[-1])
+    found = {tuple(r) for r in removal_digests(make(rows).coalesce(1)).collect()}
+    assert found == {(i, *row) for (i, _), row in zip(rows, brute.removed([text for _, text in rows]))}
+    assert 0 < given[0].count() < 60
+
+
 def test_removed_strings_of_awkward_rows(repeated, empty):
     rows = ROWS + REPEATED
     found = sorted(tuple(r) for r in removal_digests(repeated).na.fill(-1, ["doc_id"]).collect())
