@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from outlay.llm import language_ecoc, personal_data, quality_crf, toxicity_gru
 from outlay.llm.byte_bpe_frames import encode_digests
+from outlay.llm.collocations import collocations
 from outlay.llm.common import read_table
 from outlay.llm.decontamination import contaminated_documents
 from outlay.llm.exact_dedup import exact_duplicates
 from outlay.llm.minhash_dedup import near_duplicates
+from outlay.llm.sentence_pieces import encode_piece_digests
 from outlay.llm.suffix_dedup import removal_digests
 from outlay.llm.token_counts import token_counts
 
@@ -63,6 +65,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_piece_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -78,6 +88,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_minhash": op10_minhash,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -92,5 +104,52 @@ SELECT doc_id,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
        sha256(t) AS text_sha256
 FROM texts
+""",
+    "op13_collocations": r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+cut AS (SELECT d, lang, string_split_regex(t, '[.,;:!?\x0A-\x0D]') AS ps FROM lowered),
+pieces AS (SELECT d, lang, unnest(range(len(ps))) AS i, unnest(ps) AS piece FROM cut),
+split AS (SELECT d, lang, i, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+words AS (SELECT d, lang, i, unnest(range(len(ws))) AS j, unnest(ws) AS w FROM split),
+runs AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4, lead(w, 4) OVER o AS w5
+  FROM words WINDOW o AS (PARTITION BY d, i ORDER BY j)
+),
+grams AS (
+  SELECT lang, [w1] AS ws FROM runs
+  UNION ALL SELECT lang, [w1, w2] FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, [w1, w2, w3] FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, [w1, w2, w3, w4] FROM runs WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, [w1, w2, w3, w4, w5] FROM runs WHERE w5 IS NOT NULL
+),
+f AS (SELECT lang, ws, len(ws) AS m, count(*) AS f FROM grams GROUP BY lang, ws HAVING count(*) >= 100),
+sums AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+reached AS (
+  SELECT lang, ws, max(f) AS most FROM (
+    SELECT lang, ws[1:m - 1] AS ws, f FROM f WHERE m > 2
+    UNION ALL SELECT lang, ws[2:m] AS ws, f FROM f WHERE m > 2
+  ) GROUP BY lang, ws
+),
+candidates AS (
+  SELECT c.lang, c.ws, c.m, c.f AS a FROM f AS c LEFT JOIN reached AS x ON x.lang = c.lang AND x.ws = c.ws
+  WHERE c.m > 1 AND (x.most IS NULL OR x.most < c.f)
+),
+cuts AS (SELECT lang, ws, m, a, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, array_to_string(c.ws, ' ') AS phrase, c.a, c.k, l.f AS l, r.f AS r, s.n,
+         CAST((CAST(1000 AS HUGEINT) * c.a * s.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts AS c
+  JOIN f AS l ON l.lang = c.lang AND l.ws = c.ws[1:c.k]
+  JOIN f AS r ON r.lang = c.lang AND r.ws = c.ws[c.k + 1:c.m]
+  JOIN sums AS s ON s.lang = c.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """,
 }
