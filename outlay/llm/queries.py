@@ -15,6 +15,7 @@ from outlay.llm.decontamination import contaminated_documents
 from outlay.llm.exact_dedup import exact_duplicates
 from outlay.llm.minhash_dedup import near_duplicates
 from outlay.llm.sentence_pieces import encode_piece_digests
+from outlay.llm.spelling_variants import spelling_variants
 from outlay.llm.suffix_dedup import removal_digests
 from outlay.llm.token_counts import token_counts
 
@@ -65,6 +66,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_piece_digests(read_table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_minhash": op10_minhash,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_sentence_pieces": op12_sentence_pieces,
     "op13_collocations": op13_collocations,
     "pipeline": pipeline,
@@ -104,6 +110,54 @@ SELECT doc_id,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
        sha256(t) AS text_sha256
 FROM texts
+""",
+    "op11_spelling_variants": r"""
+WITH RECURSIVE steps AS (
+  SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([CAST(i AS UBIGINT)] || CAST(range(8) AS UBIGINT[]),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i)
+  )
+),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS doc, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+),
+hashed AS (
+  SELECT run, xor(CAST(4294967295 AS UBIGINT), list_reduce(
+    [CAST(4294967295 AS UBIGINT)] || CAST(flatten(list_transform(string_split(doc || run, ''),
+      lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)] ELSE [195, unicode(ch) - 64] END)) AS UBIGINT[]),
+    lambda c, b: xor(c >> 8, steps[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) AS h
+  FROM runs, steps WHERE length(run) >= 6
+),
+noisy AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word
+  FROM hashed
+),
+words AS (SELECT word, count(*) AS n FROM noisy WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+places AS (SELECT word, n, unnest(range(CAST(length(word) AS INT))) AS i FROM words),
+lost AS (SELECT word, n, i, left(word, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest FROM places),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM lost AS a JOIN lost AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM lost AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM lost AS a JOIN words AS b ON a.rest = b.word
+),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+),
+found AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form, CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+  FROM words AS w LEFT JOIN best AS b ON b.word = w.word
+),
+ways AS (
+  SELECT word, word AS root FROM found
+  UNION ALL SELECT p.word, f.form FROM ways AS p JOIN found AS f ON f.word = p.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, p.root
+FROM found AS f JOIN ways AS p ON p.word = f.word JOIN found AS e ON e.word = p.root AND e.form IS NULL
 """,
     "op13_collocations": r"""
 WITH lowered AS (
