@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ from outlay.plans import dashboard, products, staging
 from outlay.plans.contract import CONTRACT
 from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
-from outlay.session import new_work_path
+from outlay.session import new_work_path, run_together
 from outlay.sources import raw, windows
 from outlay.sources.documents import read_json_product, stamped, write_json_object, write_json_product
 from outlay.sources.landing import ingest_records, landing_path, read_jsonl, write_landing
@@ -755,17 +758,82 @@ def load_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_streamed_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One interval lands in two parts with a run of the stream between them: its window ends up whole."""
+    """Every interval lands in two parts with a run of the stream between them: all windows end up whole."""
     base, path, seen = new_work_path(spark, "landing"), new_work_path(spark, "raw"), new_work_path(spark, "stream")
-    start, end = _event_windows(spark, sf_dir)[0]
-    events = _event_days(spark, sf_dir).where(F.col("dia").between(F.lit(start), F.lit(end)))
+    events = _event_days(spark, sf_dir)
     for part in ("event_type = 'error'", "event_type <> 'error'"):
-        lines = events.where(part).select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
-        lines.write.mode("append").text(landing_path(base, end))
+        for start, end in _event_windows(spark, sf_dir):
+            rows = events.where(part).where(F.col("dia").between(F.lit(start), F.lit(end)))
+            lines = rows.select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
+            lines.write.mode("append").text(landing_path(base, end))
         load_landed_intervals(spark, base, path, seen, "2024-02-01 00:00:00", windows.WINDOW_DAYS).awaitTermination()
     return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
 
 
+@query
+def load_streamed_empty_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals loaded by the stream, the last one landed again without records: its window is cleared."""
+    base, path, seen = new_work_path(spark, "landing"), new_work_path(spark, "raw"), new_work_path(spark, "stream")
+    events, plan = _event_days(spark, sf_dir), _event_windows(spark, sf_dir)
+
+    def run() -> None:
+        load_landed_intervals(spark, base, path, seen, "2024-02-01 00:00:00", windows.WINDOW_DAYS).awaitTermination()
+
+    for start, end in plan:
+        rows = events.where(F.col("dia").between(F.lit(start), F.lit(end)))
+        write_landing(rows.select("event_id", "event_type"), base, end)
+    run()
+    write_landing(events.select("event_id", "event_type").where(F.lit(False)), base, plan[-1][1])
+    run()
+    return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
+
+
+@query
+def load_reader_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader opened before two loads sees all old rows, one opened after them all new ones."""
+    path, plan, _ = _loaded_events(spark, sf_dir)
+    before = _raw_events(spark, path)
+    (start, end), last = plan[0], plan[-1]
+    again = _event_days(spark, sf_dir).where(
+        F.col("dia").between(F.lit(start), F.lit(end)) & (F.col("event_type") != "error")
+    )
+    raw.load_window(_event_documents(again), path, start, end, "2024-02-02 00:00:00")
+    raw.load_window(_event_documents(again.where(F.lit(False))), path, *last, "2024-02-02 00:00:00")
+    columns = ("event_id", "event_type", "janela_inicio", "janela_fim")
+    return before.select(F.lit("antes").alias("leitura"), *columns).unionByName(
+        _raw_events(spark, path).select(F.lit("depois").alias("leitura"), *columns)
+    )
+
+
+@query
+def load_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of all windows that stop half-way, at the first row of one kind: the rows before them stay."""
+    path, plan, _ = _loaded_events(spark, sf_dir)
+    broken = F.when(F.col("event_type") == "error", F.raise_error(F.lit("cut off"))).otherwise(F.col("event_type"))
+    for start, end in plan:
+        rows = _event_days(spark, sf_dir).where(F.col("dia").between(F.lit(start), F.lit(end)))
+        try:
+            documents = _event_documents(rows.withColumn("event_type", broken))
+            raw.load_window(documents, path, start, end, "2024-02-02 00:00:00")
+        except (PySparkException, Py4JJavaError) as error:
+            if "cut off" not in str(error):
+                raise
+    return _raw_events(spark, path).select("event_id", "event_type", "carregado_em", "janela_inicio", "janela_fim")
+
+
+@query
+def load_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows loaded side by side, each by two writers: every window stands once."""
+    path, events = new_work_path(spark, "raw"), _event_days(spark, sf_dir)
+
+    def load(start: date, end: date) -> None:
+        rows = events.where(F.col("dia").between(F.lit(start), F.lit(end)))
+        raw.load_window(_event_documents(rows), path, start, end, "2024-02-01 00:00:00")
+
+    run_together([partial(load, *window) for window in _event_windows(spark, sf_dir) for _ in range(2)])
+    return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
+
+
 # --- data tests ---------------------------------------------------------------
 
 

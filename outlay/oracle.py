@@ -634,7 +634,18 @@ select 'convenios', n, 0, true from kept""",
     "load_streamed_windows": f"""{_EVENTS}
 select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed""",
     "load_streamed_late_file": f"""{_EVENTS}
-select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed where janela_inicio = inicio""",
+select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed""",
+    "load_streamed_empty_interval": f"""{_EVENTS}
+select event_id, event_type, janela_fim - 27 as janela_inicio, janela_fim from placed where janela_fim <> fim""",
+    "load_reader_isolation": f"""{_EVENTS}
+select 'antes' as leitura, event_id, event_type, janela_inicio, janela_fim from placed
+union all
+select 'depois', event_id, event_type, janela_inicio, janela_fim from placed
+where janela_fim <> fim and not (janela_inicio = inicio and event_type = 'error')""",
+    "load_cut_off": f"""{_EVENTS}
+select event_id, event_type, timestamptz '2024-02-01 00:00:00+00' as carregado_em, janela_inicio, janela_fim from placed""",
+    "load_two_writers": f"""{_EVENTS}
+select event_id, event_type, janela_inicio, janela_fim from placed""",
     "load_snapshot_undated": """
 select cast(case when l_linenumber <> 1 then year(l_shipdate) end as int) as ano_snapshot, count(*) as registros,
     cast(sum(cast(l_extendedprice as decimal(18, 2))) as decimal(38, 2)) as valor

@@ -1,9 +1,8 @@
 """Raw document tables: idempotent loads by window and by year.
 
-Both loads write with dynamic partition overwrite: the old partition is
-replaced only when the whole job commits, so a malformed document leaves the
-previous load in place. One writer at a time; a reader may see the table during
-the final move of files, which only a table format could hide.
+Every load is one commit of the table's log: readers see all of it or nothing,
+a load that stops half-way leaves the rows before it, and loads may run side by
+side.
 """
 
 from __future__ import annotations
@@ -11,14 +10,15 @@ from __future__ import annotations
 from dataclasses import astuple, dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from outlay.schemas import RAW_AGREEMENTS, RAW_AMENDMENTS
-from outlay.sources.files import children, exists, move
+from outlay.sources.commits import CommitLog, Snapshot
+from outlay.sources.files import children
 
 WINDOW_KEYS = ("janela_inicio", "janela_fim")
+YEAR_KEYS = ("ano_snapshot",)
 NO_AGREEMENT = "no agreement in this window"
 
 
@@ -36,30 +36,33 @@ def load_report(spark: SparkSession, *reports: LoadReport) -> DataFrame:
     return spark.createDataFrame([astuple(report) for report in reports], schema)
 
 
-def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A raw table as the loads left it; reading never makes one."""
-    if not exists(spark, path):
-        raise FileNotFoundError(f"{path} does not exist: load an extract first, or check the root folder")
-    return spark.read.schema(schema).parquet(path)
+def agreements_log(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, path, RAW_AGREEMENTS, WINDOW_KEYS)
 
 
-def table_for_load(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table a load writes to, made empty by the first load."""
-    keys = [field.name for field in schema.fields if field.name not in ("dado", "carregado_em")]
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*keys).parquet(path)
-    return read_raw(spark, path, schema)
+def amendments_log(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, path, RAW_AMENDMENTS, YEAR_KEYS)
+
+
+def read_raw(log: CommitLog) -> DataFrame:
+    """A raw table as the last load left it; reading never makes one."""
+    if not log.exists():
+        raise FileNotFoundError(f"{log.path} does not exist: load an extract first, or check the root folder")
+    return log.read()
 
 
 def read_raw_agreements(spark: SparkSession, path: str) -> DataFrame:
-    return read_raw(spark, path, RAW_AGREEMENTS)
+    return read_raw(agreements_log(spark, path))
 
 
 def read_raw_amendments(spark: SparkSession, path: str) -> DataFrame:
-    return read_raw(spark, path, RAW_AMENDMENTS)
+    return read_raw(amendments_log(spark, path))
 
 
-def replace_partitions(rows: DataFrame, path: str, keys: tuple[str, ...]) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+def made_empty(log: CommitLog) -> None:
+    """A table without rows, unless there is one."""
+    if not log.exists():
+        log.commit({}, expected=0)
 
 
 def load_window(
@@ -71,30 +74,20 @@ def load_window(
     """
     if not start or not end:
         raise ValueError("both window bounds are required: a load must know which window it replaces")
-    spark = documents.sparkSession
-    in_window = (F.col("janela_inicio") == F.lit(str(start)).cast("date")) & (
-        F.col("janela_fim") == F.lit(str(end)).cast("date")
-    )
-    removed = table_for_load(spark, path, RAW_AGREEMENTS).where(in_window).count()
-    seen = Observation("window")
-    rows = documents.observe(seen, F.count(F.lit(1)).alias("rows")).select(
+    log = agreements_log(documents.sparkSession, path)
+    rows = documents.select(
         F.col("dado"),
         F.lit(str(loaded_at)).cast("timestamp").alias("carregado_em"),
         F.lit(str(start)).cast("date").alias("janela_inicio"),
         F.lit(str(end)).cast("date").alias("janela_fim"),
     )
-    replace_partitions(rows, path, WINDOW_KEYS)
-    inserted = seen.get["rows"]
-    if inserted == 0:
-        _clear_window(spark, path, start, end)
-    warning = NO_AGREEMENT if inserted == 0 else None
-    return LoadReport("convenios", removed, inserted, 0, warning)
+    return _replace_windows(log, rows, [(start, end)])[0]
 
 
 def load_windows(
     documents: DataFrame, path: str, windows: list[tuple[date, date]], loaded_at: datetime | str
 ) -> list[LoadReport]:
-    """Delete-insert of many windows in one job.
+    """Delete-insert of many windows in one job and one commit.
 
     ``documents`` has ``dado`` and ``janela_fim``, the last day of the row's
     window; ``windows`` names all windows to replace, those without rows too.
@@ -102,34 +95,21 @@ def load_windows(
     spark = documents.sparkSession
     named = spark.createDataFrame([(str(a), str(b)) for a, b in windows], "janela_inicio string, janela_fim string")
     named = named.select(F.col("janela_inicio").cast("date"), F.col("janela_fim").cast("date")).distinct()
-    counted = lambda: {
-        (r["janela_inicio"], r["janela_fim"]): r["n"]
-        for r in read_raw_agreements(spark, path)
-        .join(F.broadcast(named), list(WINDOW_KEYS), "left_semi")
-        .groupBy(*WINDOW_KEYS)
-        .agg(F.count("*").alias("n"))
-        .collect()
-    }
-    table_for_load(spark, path, RAW_AGREEMENTS)
-    removed = counted()
     stamp = F.lit(str(loaded_at)).cast("timestamp").alias("carregado_em")
+    # The windows of one call are a short list of the driver.
     rows = documents.join(F.broadcast(named), "janela_fim").select("dado", stamp, *WINDOW_KEYS)
-    replace_partitions(rows, path, WINDOW_KEYS)
-    filled = {r["janela_fim"] for r in documents.select("janela_fim").distinct().collect()}
-    for start, end in windows:
-        if end not in filled and (start, end) in removed:
-            _clear_window(spark, path, start, end)
-    inserted = counted()
-    return [
-        LoadReport("convenios", removed.get(w, 0), inserted.get(w, 0), 0, None if w in inserted else NO_AGREEMENT)
-        for w in windows
-    ]
+    return _replace_windows(agreements_log(spark, path), rows, windows)
 
 
-def _clear_window(spark: SparkSession, path: str, start: date | str, end: date | str) -> None:
-    """Dynamic overwrite leaves a partition it got no rows for: clear it by name."""
-    nothing = spark.createDataFrame([], T.StructType(RAW_AGREEMENTS.fields[:2]))
-    nothing.write.mode("overwrite").parquet(f"{path}/janela_inicio={start}/janela_fim={end}")
+def _replace_windows(log: CommitLog, rows: DataFrame, windows: list[tuple]) -> list[LoadReport]:
+    names = [log.partition(*window) for window in windows]
+    written = log.stage(rows)
+    before, _ = log.commit(written, names)
+    inserted = {name: written[name].rows if name in written else 0 for name in names}
+    return [
+        LoadReport("convenios", log.rows_in(before, [name]), inserted[name], 0, None if inserted[name] else NO_AGREEMENT)
+        for name in names
+    ]
 
 
 def document_year(document: Column) -> Column:
@@ -144,44 +124,30 @@ def load_snapshot(documents: DataFrame, path: str, loaded_at: datetime | str) ->
     data tests see them. The rows of a year are put together before they are
     written, a large year in several files, so files do not multiply by tasks.
     """
-    spark = documents.sparkSession
+    log = amendments_log(documents.sparkSession, path)
     stamp = F.lit(str(loaded_at)).cast("timestamp")
     dated = documents.select("dado", stamp.alias("carregado_em"), document_year(F.col("dado")).alias("ano_snapshot"))
-    _evolve_snapshot(spark, path)
-    # One row per year; after the write the replaced rows can no longer be counted.
-    before = table_for_load(spark, path, RAW_AMENDMENTS).groupBy("ano_snapshot").count().collect()
-    seen = Observation("snapshot")
-    observed = dated.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count("ano_snapshot").alias("dated"),
-        F.collect_set("ano_snapshot").alias("years"),
-    )
-    replace_partitions(observed.hint("rebalance", "ano_snapshot"), path, ("ano_snapshot",))
-    counts = seen.get
-    inserted, undated = counts["rows"], counts["rows"] - counts["dated"]
-    replaced = set(counts["years"]) | ({None} if undated else set())
-    removed = sum(row["count"] for row in before if row["ano_snapshot"] in replaced)
+    _evolve_snapshot(log)
+    written = log.stage(dated.hint("rebalance", "ano_snapshot"))
+    before, _ = log.commit(written)
+    inserted = sum(part.rows for part in written.values())
+    undated = written[log.partition(None)].rows if log.partition(None) in written else 0
     warning = "no amendment in this extract" if inserted == 0 else None
-    return LoadReport("emendas", removed, inserted, undated, warning)
+    return LoadReport("emendas", log.rows_in(before, written), inserted, undated, warning)
 
 
-def _evolve_snapshot(spark: SparkSession, path: str) -> None:
+def _evolve_snapshot(log: CommitLog) -> None:
     """Give a raw table from before the year column that column, filled from its documents.
 
-    The new table is written beside the old one and then takes its place; the
-    old one stays next to it under another name.
+    The rows are written as a load of their own; the old files stay, and no reader of the log looks at them.
     """
-    if not exists(spark, path):
-        return
-    data = [name for name in children(spark, path) if not name.startswith(("_", "."))]
-    if not data or any(name.startswith("ano_snapshot=") for name in data):
+    if not log.exists() or log.latest() != Snapshot():
         return
-    old = spark.read.parquet(path)
-    new = f"{path}.with-ano_snapshot"
-    evolve_add_column(old, new, "ano_snapshot", document_year(F.col("dado")), ("ano_snapshot",))
-    move(spark, path, f"{path}.before-ano_snapshot")
-    move(spark, new, path)
+    old = [f"{log.path}/{name}" for name in children(log.spark, log.path) if name.endswith(".parquet")]
+    if old:
+        year = document_year(F.col("dado"))
+        rows = log.spark.read.parquet(*old).withColumn("ano_snapshot", year).hint("rebalance", "ano_snapshot")
+        log.commit(log.stage(rows), expected=0)
 
 
 def evolve_add_column(

@@ -111,7 +111,7 @@ def test_snapshot_files_do_not_multiply_by_tasks(spark, folder):
     path = f"{folder}/raw"
     rows = documents(spark, [amendment(str(n), ano=2020 + n % 3) for n in range(60)]).repartition(20)
     raw.load_snapshot(rows, path, T1)
-    assert len(glob.glob(f"{path}/ano_snapshot=*/*.parquet")) <= 6
+    assert len(glob.glob(f"{path}/load=*/ano_snapshot=*/*.parquet")) <= 6
 
 
 def test_reading_what_was_never_loaded_fails(spark, folder):
@@ -127,7 +127,8 @@ def test_a_table_from_before_the_year_column_is_evolved_by_a_load(spark, folder)
     report = raw.load_snapshot(documents(spark, [amendment("b", ano=2024)]), path, T2)
     assert (report.removed, report.inserted) == (1, 1)
     assert year_counts(spark, path) == {2023: 1, 2024: 1}
-    assert spark.read.parquet(f"{path}.before-ano_snapshot").count() == 2
+    assert spark.read.parquet(*glob.glob(f"{path}/*.parquet")).count() == 2
+    assert raw.amendments_log(spark, path).latest().version == 2
 
 
 def test_many_windows_in_one_load(spark, folder):
@@ -209,3 +210,14 @@ def test_streamed_intervals_equal_batch_loads(spark, folder):
     landing.write_landing(rows.limit(1), base, "2026-07-07")
     run()
     assert window_counts(spark, path) == {A: 1, B: 2}
+
+
+def test_an_empty_interval_clears_its_window_in_the_stream(spark, folder):
+    base, path, checkpoint = f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint"
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    for landed in ([(A, rows), (B, rows)], [(A, rows.limit(0))]):
+        for window, records in landed:
+            landing.write_landing(records, base, window[1])
+        load_landed_intervals(spark, base, path, checkpoint, T1).awaitTermination()
+    assert window_counts(spark, path) == {B: 2}
+    assert landing.read_jsonl(spark, landing.landing_path(base, A[1]), rows.schema).count() == 0
