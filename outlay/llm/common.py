@@ -41,6 +41,7 @@ class WorkTables:
         self.spark = spark
         self.root = new_work_path(spark, label)
         self._count = 0
+        self._paths: dict[int, tuple[str, DataFrame]] = {}
 
     def keep(self, rows: DataFrame, label: str) -> DataFrame:
         """``rows`` written as Parquet and read back."""
@@ -48,18 +49,16 @@ class WorkTables:
         path = f"{self.root}/{self._count:03d}-{label}"
         schema = rows.schema
         rows.write.parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+        table = self.spark.read.schema(schema).parquet(path)
+        self._paths[id(table)] = (path, table)
+        return table
 
     def drop(self, *tables: DataFrame) -> None:
-        """Remove tables of this run that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        """Empty tables of this run that nothing reads any more."""
         for table in tables:
-            for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-                if name.split("://")[-1].split(":")[-1].find(self.root.split("://")[-1].split(":")[-1]) < 0:
-                    raise ValueError(f"{name} is not a table of this run")
-                path = jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(conf).delete(path, True)
+            path = self._paths.pop(id(table))[0]
+            # Replaced by a table without rows, which needs nothing but Spark's writer.
+            self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def name_in_order(work: WorkTables, keys: DataFrame, name: str) -> DataFrame:

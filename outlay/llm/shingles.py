@@ -52,8 +52,9 @@ def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minima(sets: list[np.ndarray], functions: tuple[np.ndarray, np.ndarray], chunk: int = 8192) -> np.ndarray:
-    """The upper 16 bits of each hash function's minimum over each (non-empty) set.
+    """16 bits of each hash function's minimum over each (non-empty) set.
 
+    A minimum of many values is small, so it is mixed before bits are taken.
     Sets are cut into chunks that stay in the processor's cache; a chunk's
     minima are combined with those of the same set's other chunks.
     """
@@ -68,4 +69,6 @@ def minima(sets: list[np.ndarray], functions: tuple[np.ndarray, np.ndarray], chu
         for k in range(len(factors)):
             found = np.minimum.reduceat(part * factors[k] + offsets[k], starts)
             least[rows, k] = np.minimum(least[rows, k], found)
-    return (least >> np.uint64(48)).astype(np.uint16)
+    least *= _FINISH
+    least ^= least >> np.uint64(32)
+    return (least * _MIX >> np.uint64(48)).astype(np.uint16)

@@ -3,6 +3,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from conftest import COPY, REPEATED, ROWS, prose
 
@@ -11,6 +12,7 @@ from outlay.llm.common import WorkTables
 from outlay.llm.components import components
 from outlay.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from outlay.llm.minhash_dedup import drop_near_duplicates, near_duplicates
+from outlay.llm.shingles import hash_functions, minima
 from outlay.llm.suffix_dedup import removal_digests
 
 
@@ -81,6 +83,41 @@ def test_near_duplicates_of_repeated_rows(repeated, empty):
     assert near_duplicates(empty).count() == 0 and drop_near_duplicates(empty).count() == 0
 
 
+def test_rows_that_share_a_doc_id(make):
+    x, y, z = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(3, x), (5, x), (5, y), (7, y + " more"), (8, z), (5, z), (9, None), (9, "")]
+    for order in (rows, rows[::-1]):
+        found = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_duplicates(make(order)).collect()}
+        assert {found[key][0] for key in found if key[0] != 9} == {3} and found[(9, 0)] == (9, True)
+        kept = sorted((r.doc_id, r.text or "") for r in drop_near_duplicates(make(order)).collect())
+        assert kept == sorted([(3, x), (5, y), (5, z), (9, ""), (9, "")])
+
+
+def test_disjoint_long_texts_share_no_band():
+    draw = np.random.Generator(np.random.PCG64(7))
+    sets = [np.unique(draw.integers(0, 2**64, 200_000, dtype=np.uint64)) for _ in range(2)]
+    a, b = minima(sets, hash_functions(minhash_dedup.BANDS * minhash_dedup.ROWS_PER_BAND))
+    assert (a == b).sum() <= 2 and not (a.view(np.int64) == b.view(np.int64)).any()
+
+
+def test_agreeing_minima_are_counted_in_columns(spark):
+    draw = np.random.Generator(np.random.PCG64(8))
+    a = draw.integers(0, 2**16, (20, 160), dtype=np.uint16)
+    b = np.where(draw.random((20, 160)) < 0.6, a, draw.integers(0, 2**16, (20, 160), dtype=np.uint16))
+    rows = [(x.view(np.int64).tolist(), y.view(np.int64).tolist()) for x, y in zip(a, b)]
+    table = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    found = [r[0] for r in table.select(minhash_dedup._agreeing(table["a"], table["b"])).collect()]
+    assert found == (a == b).sum(axis=1).tolist()
+
+
+def test_a_dropped_table_is_empty(spark):
+    work = WorkTables(spark, "test")
+    table, other = work.keep(spark.range(5), "a"), work.keep(spark.range(6), "b")
+    path = table.inputFiles()[0].rsplit("/", 1)[0]
+    work.drop(table)
+    assert spark.read.parquet(path).count() == 0 and other.count() == 6
+
+
 def test_a_chain_whose_ends_are_not_similar_is_one_component(make):
     words = prose(9, 100).split()
     rows = []
