@@ -4,9 +4,13 @@ White space becomes the marker U+2581. A chunk is a run of markers and the
 characters up to the next marker; the text gets one marker in front. No piece
 of the vocabulary has a marker behind another character, so merging never
 crosses the border of two chunks: each can be segmented alone, and the ids of
-a text are those of its chunks in order. Every chunk begins with a marker,
-which is a piece, so runs of byte pieces never cross a border either and
-decoding works chunk by chunk as well.
+a text are those of its chunks in order. A chunk holds
+whole characters, so decoding works chunk by chunk as well.
+
+Where the vocabulary allows it, a chunk ends elsewhere, too: between a sign and a
+letter if no piece has that sign beside a letter, and around a sign that no piece
+has beside anything (``free_signs``). So "word", "word," and "word." share the
+chunk of the word.
 
 Within a chunk the neighbours whose joint piece has the best score are merged,
 leftmost first, until none is left. A character that is no piece becomes its
@@ -17,12 +21,14 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 
 MARKER = "▁"
-CHUNK = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
+#: ASCII characters besides letters and digits.
+ASCII_SIGNS = "".join(c for c in map(chr, range(128)) if not c.isalnum() and c != " ")
 #: Up to this many characters the best neighbours are searched in a list, beyond it in a heap.
 SHORT = 64
 
@@ -37,6 +43,26 @@ class Vocabulary:
     begin: int
     end: int
     pieces: list[str] = field(repr=False, default_factory=list)
+    signs: str = ""
+    alone: str = ""
+
+    def chunk_pattern(self) -> re.Pattern[str]:
+        """What one chunk is."""
+        lone = re.escape(self.alone)
+        rest = rf"[^{MARKER}{lone}]+" + (f"|[{lone}]+" if lone else "")
+        if self.signs:
+            # A run of letters or signs that ends where the other kind follows, or nothing that may join it.
+            free, letter, end = f"[{re.escape(self.signs)}]", r"[^\W\d_]", rf"[{MARKER}{lone}]|\Z"
+            rest = f"{letter}+(?={free}|{end})|{free}+(?={letter}|{end})|{rest}"
+        return re.compile(f"{MARKER}*(?:{rest})|{MARKER}+")
+
+
+def free_signs(pieces: Iterable[str]) -> tuple[str, str]:
+    """The ASCII signs that are beside no letter in any piece, and those that are beside no character at all."""
+    beside = {piece[i : i + 2] for piece in pieces for i in range(len(piece) - 1)}
+    mixed = {c for pair in beside if pair[0].isalpha() != pair[1].isalpha() for c in pair}
+    joined = {c for pair in beside for c in pair}
+    return "".join(sign for sign in ASCII_SIGNS if sign not in mixed), "".join(sign for sign in ASCII_SIGNS if sign not in joined)
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -55,6 +81,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         raise ValueError("the vocabulary must hold the marker and all 256 bytes")
     if model.normalize("ﬁ  a\t") != f"{MARKER}ﬁ{MARKER}{MARKER}a\t":
         raise ValueError("the model changes texts beyond marking white space")
+    signs, alone = free_signs(pieces[i] for i in plain)
     return Vocabulary(
         ids={pieces[i]: i for i in plain},
         scores={pieces[i]: model.get_score(i) for i in plain},
@@ -62,12 +89,14 @@ def load_vocabulary(path: str) -> Vocabulary:
         begin=model.bos_id(),
         end=model.eos_id(),
         pieces=pieces,
+        signs=signs,
+        alone=alone,
     )
 
 
-def chunks(text: str) -> list[str]:
+def chunks(text: str, pattern: re.Pattern[str]) -> list[str]:
     """The marked words of a text; an empty text has none."""
-    return CHUNK.findall(MARKER + text.replace(" ", MARKER)) if text else []
+    return pattern.findall(MARKER + text.replace(" ", MARKER)) if text else []
 
 
 class Segmenter:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,14 +41,14 @@ WORKER_BYTES = 64 << 20
 COUNTED_AT_ONCE = 200_000
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
+def chunk_counts(docs: DataFrame, pattern: re.Pattern[str]) -> DataFrame:
     """``chunk, n`` of all chunks that occur twice or more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in batch["text"]:
-                seen.update(chunks(text))
+                seen.update(chunks(text, pattern))
                 if len(seen) > COUNTED_AT_ONCE:
                     yield pd.DataFrame({"chunk": list(seen.keys()), "n": list(seen.values())})
                     seen.clear()
@@ -57,9 +58,9 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("chunk").agg(F.sum("n").alias("n")).where("n > 1")
 
 
-def chunk_table(docs: DataFrame, shared: Broadcast, work: WorkTables, rows: int, size: int) -> DataFrame:
+def chunk_table(docs: DataFrame, pattern: re.Pattern[str], shared: Broadcast, work: WorkTables, rows: int, size: int) -> DataFrame:
     """``chunk, ids, characters`` of the most frequent chunks, at most ``rows`` rows and ``size`` bytes of chunks."""
-    counts = work.keep(chunk_counts(docs).select("*", F.floor(F.log2("n") * 4).cast("int").alias("level")), "counts")
+    counts = work.keep(chunk_counts(docs, pattern).select("*", F.floor(F.log2("n") * 4).cast("int").alias("level")), "counts")
     # At most 256 levels exist, as counts are below 2^64.
     levels = counts.groupBy("level").agg(F.count("*").alias("n"), F.sum(F.octet_length("chunk")).alias("size")).collect()
     n_rows = n_bytes = 0
@@ -125,7 +126,8 @@ def _encoded(docs: DataFrame, path: str, rows: int, size: int, digests: bool) ->
     work = WorkTables(docs.sparkSession, "pieces")
     vocabulary = load_vocabulary(path)
     shared = _share(docs.sparkSession, vocabulary)
-    table = chunk_table(docs, shared, work, rows, size).toArrow()  # at most ``rows`` rows and ``size`` bytes of chunks
+    pattern = vocabulary.chunk_pattern()
+    table = chunk_table(docs, pattern, shared, work, rows, size).toArrow()  # at most ``rows`` rows and ``size`` bytes of chunks
     known = {
         chunk: (ids, characters)
         for chunk, ids, characters in zip(*(table[name].to_pylist() for name in ("chunk", "ids", "characters")))
@@ -135,7 +137,7 @@ def _encoded(docs: DataFrame, path: str, rows: int, size: int, digests: bool) ->
 
     def coded(text: str, found: ChunkTable) -> tuple[bytes, str]:
         found.turn()
-        parts = chunks(text)
+        parts = chunks(text, pattern)
         if not parts:
             return begin + end, ""
         ids, characters = zip(*map(found.__getitem__, parts))

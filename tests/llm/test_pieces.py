@@ -9,7 +9,7 @@ import sentencepiece
 from conftest import REPEATED, ROWS
 
 from outlay.llm import piece_chunks
-from outlay.llm.piece_chunks import ChunkTable, Segmenter, chunks, load_vocabulary, unmarked
+from outlay.llm.piece_chunks import ChunkTable, Segmenter, chunks, free_signs, load_vocabulary, unmarked
 from outlay.llm.sentence_pieces import MODEL, encode_piece_digests, encode_pieces
 
 ALPHABETS = ["ab", "aeiou thn", "abcdefghijklmnopqrstuvwxyz ", "éèàüß ñ", "01 234", "!?. \n\t", "漢字かな😀 x", "▁ ab", "<s>/0xA ", "\x00ab "]
@@ -31,7 +31,7 @@ def test_chunks_equal_the_library(segmenter, library):
     texts = ["".join(draw.choices(draw.choice(ALPHABETS), k=draw.randint(0, 200))) for _ in range(1500)]
     texts += ["the quick  brown\n\nfox " * 300, "a" * 3000, " " * 300, ""]
     for text in texts:
-        found = [segmenter.encode_chunk(chunk) for chunk in chunks(text)]
+        found = [segmenter.encode_chunk(chunk) for chunk in chunks(text, segmenter.vocabulary.chunk_pattern())]
         ids = [i for part in found for i in part]
         assert ids == library.encode(text)
         assert unmarked("".join(map(segmenter.decode_marked, found))) == library.decode(ids)
@@ -75,6 +75,12 @@ def test_ids_and_texts(repeated, library):
     assert found == {(i, t or ""): library.encode(t or "", add_bos=True, add_eos=True) for i, t in ROWS + REPEATED}
 
 
+def test_signs_that_stand_alone():
+    free, alone = free_signs(["▁the", "ab", "!!", "#-", "a1", "e;", "▁.", ".”"])
+    assert set("!#-,.\n") <= set(free) and ";" not in free
+    assert set(",\n") <= set(alone) and not set("!#-;") & set(alone)
+
+
 def test_a_model_whose_pieces_cross_markers_is_refused(monkeypatch):
     class Crossing(sentencepiece.SentencePieceProcessor):
         def id_to_piece(self, i):
