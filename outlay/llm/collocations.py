@@ -19,7 +19,8 @@ again and builds stripes where prefix and last words are frequent; a bit field
 of fixed size tells that early, and a false yes changes no count that is used.
 
 A frequent prefix has a long stripe. It is split by its next words into parts
-which are merged apart; only frequent entries stay in a merged part.
+of at most about 1/4096 of all words, which are merged apart; only frequent
+entries stay in a merged part.
 """
 
 from __future__ import annotations
@@ -29,12 +30,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outlay.llm.bit_filter import bit_field
 from outlay.llm.common import WorkTables
-from outlay.llm.word_stripes import LONGEST, Stripes, gram_hashes, word_hash
+from outlay.llm.word_stripes import LONGEST, SHARES, WORDS_AT_ONCE, Hot, Stripes, gram_hashes, word_hash
 
 #: Least occurrences of a candidate, phrases reported per language, factor of the score.
 LEAST = 100
@@ -43,35 +46,28 @@ SCALE = 1000
 _SALTS = 16
 
 
-def _partial(texts: DataFrame, length: int, frequent: object) -> DataFrame:
+def _partial(texts: DataFrame, length: int, known: Broadcast | None) -> DataFrame:
     """``lang, prefix, part, next, n``: stripes of what each task has read."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        field = frequent.value if frequent is not None else None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, hot = known.value if known is not None else (None, None)
         open_stripes: dict[str, Stripes] = {}
-
-        def given(lang: str) -> Iterator[pd.DataFrame]:
-            rows = list(open_stripes[lang].flush())
-            for at in range(0, len(rows), 50_000):
-                prefix, part, after, n = zip(*rows[at : at + 50_000])
-                yield pd.DataFrame({"lang": lang, "prefix": prefix, "part": part, "next": after, "n": n})
-
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                if lang not in open_stripes:
-                    open_stripes[lang] = Stripes(lang, length, field)
-                stripes = open_stripes[lang]
-                stripes.add(text)
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                stripes = open_stripes.get(lang)
+                if stripes is None:
+                    stripes = open_stripes[lang] = Stripes(lang, length, frequent, hot)
+                stripes.add(text.as_py())
                 if stripes.full():
-                    yield from given(lang)
+                    yield from stripes.flush()
             # Many languages must not add up.
-            if sum(stripes.count for stripes in open_stripes.values()) > 4_000_000:
-                for lang in open_stripes:
-                    yield from given(lang)
-        for lang in open_stripes:
-            yield from given(lang)
+            if sum(stripes.count for stripes in open_stripes.values()) > 2 * WORDS_AT_ONCE:
+                for stripes in open_stripes.values():
+                    yield from stripes.flush()
+        for stripes in open_stripes.values():
+            yield from stripes.flush()
 
-    return texts.mapInPandas(run, "lang string, prefix string, part int, next array<string>, n array<long>")
+    return texts.mapInArrow(run, "lang string, prefix string, part int, next array<string>, n array<int>")
 
 
 def _merged(partial: DataFrame, least: int) -> DataFrame:
@@ -93,18 +89,23 @@ def _grams(merged: DataFrame) -> DataFrame:
     return entries.select("lang", phrase.alias("phrase"), F.col("entry.n").alias("f"))
 
 
-def _field(grams: DataFrame) -> np.ndarray:
-    """The bit field over the hashes of phrases."""
+def _phrase_hash(phrase: str, lang: str) -> int:
+    words = np.array([word_hash(word, lang) for word in phrase.encode().split(b" ")], dtype=np.uint64)
+    return int(gram_hashes(words, len(words))[0])
+
+
+def _known(grams: DataFrame, total: int) -> tuple[np.ndarray, Hot]:
+    """What the next level knows of this one: a bit field over the phrases, and the hot ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for lang, phrase in zip(batch["lang"], batch["phrase"]):
-                words = np.array([word_hash(word, lang) for word in phrase.encode().split(b" ")], dtype=np.uint64)
-                found.append(gram_hashes(words, len(words))[0])
+            found = [_phrase_hash(phrase, lang) for lang, phrase in zip(batch["lang"], batch["phrase"])]
             yield pd.DataFrame({"hash": np.array(found, dtype=np.uint64).view(np.int64)})
 
-    return bit_field(grams.select("lang", "phrase").mapInPandas(run, "hash long"), "hash")
+    field = bit_field(grams.select("lang", "phrase").mapInPandas(run, "hash long"), "hash")
+    # Phrases of one length have at most ``total`` places together, so these are at most SHARES.
+    hot = grams.where(F.col("f") * SHARES >= total).collect() if total else []
+    return field, Hot([_phrase_hash(row["phrase"], row["lang"]) for row in hot], [row["f"] for row in hot], total)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -120,14 +121,16 @@ def collocations(docs: DataFrame, least: int = LEAST, per_language: int = PER_LA
     texts = docs.select(F.coalesce(docs["lang"], F.lit("und")).alias("lang"), docs["text"]).where("text <> ''")
     levels: list[DataFrame] = []
     grams: list[DataFrame] = []
-    frequent = None
+    known = None
     for length in range(LONGEST):
-        levels.append(work.keep(_merged(_partial(texts, length, frequent), least), f"stripes{length}"))
+        levels.append(work.keep(_merged(_partial(texts, length, known), least), f"stripes{length}"))
         grams.append(_grams(levels[-1]))
+        if length == 0:
+            n = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
+            all_words = n.agg(F.sum("n")).first()[0] or 0
         if length < LONGEST - 1:
-            frequent = spark.sparkContext.broadcast(_field(grams[-1]))  # 8 MiB
+            known = spark.sparkContext.broadcast(_known(grams[-1], all_words))  # 8 MiB and at most SHARES pairs
 
-    n = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
     totals = reduce(DataFrame.unionByName, levels[1:]).groupBy("lang", "prefix").agg(F.sum("total").alias("l"))
     counts = reduce(DataFrame.unionByName, grams)
     candidates = reduce(DataFrame.unionByName, grams[1:]).withColumn("words", F.split("phrase", " "))

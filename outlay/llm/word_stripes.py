@@ -5,21 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from outlay.llm.bit_filter import passes
 
 #: Longest phrase, in words.
 LONGEST = 5
-#: Parts into which the stripes of a prefix of so many words are split, by the next word.
-PARTS = (4096, 64, 16, 4, 4)
+#: A stripe is split by its next words so that a part holds about so small a share of all words.
+SHARES = 4096
 #: Words counted before their stripes are handed on, and distinct words known at once.
-WORDS_AT_ONCE = 2_000_000
+WORDS_AT_ONCE = 4_000_000
 KNOWN_WORDS = 1_000_000
 #: Bytes of a text that are split into words at once.
 SLICE_BYTES = 1 << 20
+_ROWS_AT_ONCE = 20_000
 _BITS = 21  # a word's number: three fit into 63 bits
-_BREAK = -1
 _DELIMITERS = b".,;:!?\n\x0b\x0c\r"
 #: 0xFF is no byte of UTF-8 text, so it can stand for the end of a piece.
 _MARKED = bytes.maketrans(_DELIMITERS, b"\xff" * len(_DELIMITERS))
@@ -63,6 +65,21 @@ def word_hash(word: bytes, lang: str) -> int:
     return xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang))
 
 
+class Hot:
+    """Prefixes that hold at least a share of all words, at most ``SHARES`` of them, and their number of parts."""
+
+    def __init__(self, hashes: list[int], counts: list[int], total: int) -> None:
+        order = np.argsort(np.array(hashes, dtype=np.uint64))
+        self.hashes = np.array(hashes, dtype=np.uint64)[order]
+        self.parts = np.array([-(-n * SHARES // total) for n in counts], dtype=np.int64)[order]
+
+    def parts_of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(hashes), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.parts[at], 1)
+
+
 class Stripes:
     """Collects texts of one language and gives their stripes for prefixes of ``length`` words.
 
@@ -73,8 +90,9 @@ class Stripes:
     so a stripe's sum is the number of places of its prefix.
     """
 
-    def __init__(self, lang: str, length: int, frequent: np.ndarray | None) -> None:
+    def __init__(self, lang: str, length: int, frequent: np.ndarray | None, hot: Hot | None = None) -> None:
         self.lang, self.length, self.frequent = lang, length, frequent
+        self.hot = hot or Hot([], [], 1)
         self._start()
 
     def _start(self) -> None:
@@ -84,42 +102,43 @@ class Stripes:
         number = self.numbers.__getitem__
         self.numbers[b"\xff"]  # the break is number 0
         for words in tokens(text):
-            self.parts.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
+            self.parts.append(np.fromiter(map(number, words), dtype=np.int32, count=len(words)))
             self.count += len(words)
-        self.parts.append(np.zeros(1, dtype=np.int64))
+        self.parts.append(np.zeros(1, dtype=np.int32))
 
     def full(self) -> bool:
         return self.count > WORDS_AT_ONCE or len(self.numbers) > KNOWN_WORDS
 
-    def flush(self) -> Iterator[tuple[str, int, list[str], np.ndarray]]:
-        """``prefix, part, next words, counts`` of what was added."""
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        """``lang, prefix, part, next, n`` of what was added."""
         if not self.count:
             return
         if len(self.numbers) >= 1 << _BITS:
             raise ValueError("one text holds more distinct words than can be numbered")
         placed = np.concatenate(self.parts)
         known = list(self.numbers)
-        names = [word.decode() if word != b"\xff" else "" for word in known]
+        names = pa.array([word.decode() if word != b"\xff" else "" for word in known])
         hashes = np.fromiter((word_hash(word, self.lang) for word in known), dtype=np.uint64, count=len(known))
         self._start()
-        n, length = len(placed), self.length
-        starts = np.flatnonzero(self._inside(placed, length)) if length else np.arange(n)
+        length = self.length
         if length:
-            may = np.zeros(n, dtype=bool)
-            if self.frequent is None:
-                may[starts] = True
-            elif len(starts):
-                may[starts] = passes(self.frequent, gram_hashes(hashes[placed], length)[starts])
+            starts = np.flatnonzero(self._inside(placed, length)).astype(np.int32)
+            prefixes = gram_hashes(hashes[placed], length)
+            may = np.zeros(len(placed), dtype=bool)
+            may[starts] = True if self.frequent is None else passes(self.frequent, prefixes[starts])
             starts = starts[may[starts]]
             # The texts end with a break, so starts + length is a place.
             after = np.where(may[starts + 1], placed[starts + length], 0)
+            parts = self.hot.parts_of(prefixes[starts])
         else:
-            starts = starts[placed != 0]
+            starts = np.flatnonzero(placed)
             after = placed[starts]
-        if not len(starts):
-            return
-        columns = [placed[starts + k] for k in range(length)] + [after]
-        yield from self._stripes(columns, names, hashes)
+            parts = SHARES
+        if len(starts):
+            columns = [placed[starts + k] for k in range(length)]
+            part = (hashes[after] >> np.uint64(20)).astype(np.int64) % parts
+            part[after == 0] = 0
+            yield from self._stripes(columns, part, after, names)
 
     @staticmethod
     def _inside(placed: np.ndarray, length: int) -> np.ndarray:
@@ -130,32 +149,41 @@ class Stripes:
             inside[-k:] = False
         return inside
 
-    def _stripes(self, columns: list[np.ndarray], names: list[str], hashes: np.ndarray) -> Iterator[tuple]:
-        part = (hashes[columns[-1]] >> np.uint64(20)).astype(np.int64) % PARTS[self.length]
-        part[columns[-1] == 0] = 0
+    def _stripes(self, prefix: list[np.ndarray], part: np.ndarray, after: np.ndarray, names: pa.Array) -> Iterator[pa.RecordBatch]:
         # Sort by prefix, part and next word; three words are one number.
-        keys = [columns[-1] | part << _BITS]
-        prefix = columns[:-1]
-        packed = [sum(word << (_BITS * i) for i, word in enumerate(prefix[k : k + 3])) for k in range(0, len(prefix), 3)]
-        keys += packed
-        order = np.lexsort(keys)
-        keys = [key[order] for key in keys]
-        new = np.zeros(len(order), dtype=bool)
-        new[0] = True
-        for key in keys:
-            new[1:] |= key[1:] != key[:-1]
-        first = np.flatnonzero(new)
+        keys = [after | part << _BITS]
+        for k in range(0, len(prefix), 3):
+            keys.append(sum(word.astype(np.int64) << (_BITS * i) for i, word in enumerate(prefix[k : k + 3])))
+        order = np.lexsort(keys) if len(keys) > 1 else np.argsort(keys[0])
+        first = _changes([key[order] for key in keys])
         counts = np.diff(np.append(first, len(order)))
         rows = order[first]
-        after, parts = columns[-1][rows], part[rows]
-        change = np.zeros(len(rows), dtype=bool)
-        change[0] = True
-        for key in (parts, *[word[rows] for word in prefix]):
-            change[1:] |= key[1:] != key[:-1]
-        begins = np.flatnonzero(change)
-        ends = np.append(begins[1:], len(rows))
-        heads = [word[rows[begins]].tolist() for word in prefix]
-        told = [names[i] for i in after.tolist()]
-        joined = [" ".join([names[i] for i in words]) for words in zip(*heads)] if prefix else [""] * len(begins)
-        for head, which, a, b in zip(joined, parts[begins].tolist(), begins.tolist(), ends.tolist()):
-            yield head, which, told[a:b], counts[a:b]
+        after, part = after[rows], part[rows]
+        begins = _changes([part, *[word[rows] for word in prefix]])
+        heads = [names.take(pa.array(word[rows[begins]])) for word in prefix]
+        joined = pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(begins))
+        begins = np.append(begins, len(rows))
+        for at in range(0, len(begins) - 1, _ROWS_AT_ONCE):
+            ends = begins[at : at + _ROWS_AT_ONCE + 1]
+            offsets = pa.array((ends - ends[0]).astype(np.int32))
+            inside = slice(ends[0], ends[-1])
+            n = len(ends) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([self.lang] * n),
+                    joined.slice(at, n),
+                    pa.array(part[ends[:-1]].astype(np.int32)),
+                    pa.ListArray.from_arrays(offsets, names.take(pa.array(after[inside]))),
+                    pa.ListArray.from_arrays(offsets, pa.array(counts[inside].astype(np.int32))),
+                ],
+                names=["lang", "prefix", "part", "next", "n"],
+            )
+
+
+def _changes(keys: list[np.ndarray]) -> np.ndarray:
+    """Places at which a row differs from the one before."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(new)

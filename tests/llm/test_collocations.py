@@ -80,12 +80,13 @@ def test_slices_cut_no_word(monkeypatch, size):
 
 def test_stripes_add_up():
     texts = ["a b a b c. a b", "b a", ""]
-    stripes = Stripes("en", 1, None)
+    stripes = Stripes("en", 1, None, word_stripes.Hot([word_stripes.gram_hashes(np.array([word_stripes.word_hash(b"a", "en")], np.uint64), 1)[0]], [4], 9))
     for text in texts:
         stripes.add(text)
     found = collections.defaultdict(dict)
-    for prefix, part, after, n in stripes.flush():
-        assert 0 <= part < word_stripes.PARTS[1]
-        found[prefix].update(zip(after, np.asarray(n).tolist()))
+    for batch in stripes.flush():
+        for row in batch.to_pylist():
+            assert row["lang"] == "en" and (0 <= row["part"] < 4096 if row["prefix"] == "a" else row["part"] == 0)
+            found[row["prefix"]].update(zip(row["next"], row["n"]))
     assert found == {"a": {"b": 3, "": 1}, "b": {"a": 2, "c": 1, "": 1}, "c": {"": 1}}
     assert list(stripes.flush()) == []
