@@ -37,7 +37,7 @@ from outlay.operators.quality import (
     unique_failures,
 )
 from outlay.operators.versions import latest_version, representative
-from outlay.plans import dashboard, products, staging
+from outlay.plans import dashboard, products, rollup, staging
 from outlay.plans.contract import CONTRACT
 from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
@@ -45,7 +45,7 @@ from outlay.session import new_work_path, run_together
 from outlay.sources import raw, windows
 from outlay.sources.documents import read_json_product, stamped, write_json_object, write_json_product
 from outlay.sources.landing import ingest_records, landing_path, read_jsonl, write_landing
-from outlay.sources.marts import MARTS, TableFolder
+from outlay.sources.marts import MARTS, ROLLUP, TableFolder
 from outlay.standin import (
     AS_OF,
     INDIVIDUAL_PATTERN,
@@ -85,13 +85,13 @@ def flat_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def staged_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole staging path: nested documents, one parse, casts, newest version, filters."""
-    return staging.stg_convenios(agreement_documents(spark, sf_dir), AS_OF).drop("carregado_em")
+    return staging.stg_convenios(Marts.of(spark, sf_dir)["raw_convenios"], AS_OF).drop("carregado_em")
 
 
 @query
 def staged_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole staging path of amendments, money given as Brazilian-format text."""
-    return staging.stg_emendas(amendment_documents(spark, sf_dir))
+    return staging.stg_emendas(Marts.of(spark, sf_dir)["raw_emendas"])
 
 
 @query
@@ -292,14 +292,26 @@ def json_product_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dash_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = Marts.of(spark, sf_dir)
-    return dashboard.dashboard_kpis(marts["fct_convenios"], marts["dim_municipio"], regiao=REGION)
+    """Answered from the rollup, as are the ranking and the series."""
+    return rollup.rollup_kpis(Marts.of(spark, sf_dir)[ROLLUP], regiao=REGION)
 
 
 @query
 def dash_kpis_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rollup_kpis(Marts.of(spark, sf_dir)[ROLLUP], regiao=None, uf=None)
+
+
+@query
+def dash_kpis_from_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals from the fact, two filters at once."""
     marts = Marts.of(spark, sf_dir)
-    return dashboard.dashboard_kpis(marts["fct_convenios"], marts["dim_municipio"], regiao=None, uf=None)
+    return dashboard.dashboard_kpis(marts["fct_convenios"], marts["dim_municipio"], regiao=REGION, uf=STATE)
+
+
+@query
+def scope_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the rollup."""
+    return Marts.of(spark, sf_dir)[ROLLUP]
 
 
 @query
@@ -311,6 +323,11 @@ def dash_kpis_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dash_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rollup_ranking(Marts.of(spark, sf_dir)[ROLLUP], regiao=REGION)
+
+
+@query
+def dash_ranking_from_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = Marts.of(spark, sf_dir)
     return dashboard.dashboard_ranking(
         marts["fct_convenios"], marts["dim_orgao_superior"], marts["dim_municipio"], regiao=REGION
@@ -319,6 +336,11 @@ def dash_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dash_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rollup_serie(Marts.of(spark, sf_dir)[ROLLUP], regiao=REGION, uf=STATE)
+
+
+@query
+def dash_series_from_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = Marts.of(spark, sf_dir)
     return dashboard.dashboard_serie(marts["fct_convenios"], marts["dim_municipio"], regiao=REGION, uf=STATE)
 

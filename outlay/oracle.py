@@ -488,6 +488,43 @@ select mes_referencia as mes, {_sum("valor")} as valor_total, count(*) as numero
 from fct join geo on fct.sk_municipio = geo.sk_municipio
 where nome_regiao = 'ASIA' and uf_nome = 'NATION_7' and mes_referencia is not null
 group by mes_referencia""",
+    "dash_ranking_from_fact": f"""{STAR}
+select nome_orgao_superior as orgao, {_sum("valor")} as valor_total, cast(count(*) as bigint) as numero_convenios
+from fct join agency on fct.sk_orgao_superior = agency.sk_orgao_superior
+join geo on fct.sk_municipio = geo.sk_municipio
+where nome_regiao = 'ASIA' group by nome_orgao_superior
+order by valor_total desc nulls last, orgao limit 15""",
+    "dash_series_from_fact": f"""{STAR}
+select mes_referencia as mes, {_sum("valor")} as valor_total, count(*) as numero_convenios
+from fct join geo on fct.sk_municipio = geo.sk_municipio
+where nome_regiao = 'ASIA' and uf_nome = 'NATION_7' and mes_referencia is not null
+group by mes_referencia""",
+    "dash_kpis_from_fact": f"""{STAR}
+select {_sum("valor")} as valor_total, {_sum("valor_liberado")} as valor_liberado,
+    count(*) as numero_convenios, count(distinct fct.sk_municipio) as numero_municipios
+from fct join geo on fct.sk_municipio = geo.sk_municipio where nome_regiao = 'ASIA' and uf_nome = 'NATION_7'""",
+    "scope_rollup": f"""{STAR},
+placed as (
+    select fct.*, nome_regiao, uf_nome, nome_municipio, nome_orgao_superior as orgao
+    from fct join geo on fct.sk_municipio = geo.sk_municipio
+    left join agency on fct.sk_orgao_superior = agency.sk_orgao_superior
+),
+levels as (select unnest(range(4)) as nivel),
+named as (
+    select nivel, case when nivel > 0 then nome_regiao end as nome_regiao, case when nivel > 1 then uf_nome end as uf_nome,
+        case when nivel > 2 then nome_municipio end as nome_municipio, orgao, mes_referencia as mes, sk_municipio, valor, valor_liberado
+    from placed cross join levels
+)
+select 'kpis' as assunto, cast(nivel as int) as nivel, nome_regiao, uf_nome, nome_municipio, cast(null as varchar) as orgao,
+    cast(null as date) as mes, {_sum("valor")} as valor, {_sum("valor_liberado")} as liberado, count(*) as n,
+    count(distinct sk_municipio) as lugares
+from named group by nivel, nome_regiao, uf_nome, nome_municipio
+union all
+select 'orgao', cast(nivel as int), nome_regiao, uf_nome, nome_municipio, orgao, null, {_sum("valor")}, {_sum("valor_liberado")}, count(*), null
+from named group by nivel, nome_regiao, uf_nome, nome_municipio, orgao
+union all
+select 'mes', cast(nivel as int), nome_regiao, uf_nome, nome_municipio, null, mes, {_sum("valor")}, {_sum("valor_liberado")}, count(*), null
+from named where mes is not null group by nivel, nome_regiao, uf_nome, nome_municipio, mes""",
     "dash_year": f"{_YEARS}\nselect * from years",
     "dash_year_long": f"""{_YEARS}
 select ano, eh_ano_eleitoral, tipo_eleicao, posicao_mandato_federal, 'Empenhado (prometido)' as medida,

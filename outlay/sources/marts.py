@@ -19,6 +19,7 @@ MARTS = (
     "fct_convenios",
     "fct_emendas",
 )
+ROLLUP = "rollup_convenios"
 
 
 #: The file that names the version readers use, and how many versions stay.
@@ -61,8 +62,8 @@ class TableFolder:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def write(self, name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").parquet(self.path(name))
+    def write(self, name: str, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         self._schemas[name] = rows.schema
         return self.read(name)
 

@@ -11,15 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outlay.plans import dimensions, facts, staging
+from outlay.plans import dimensions, facts, rollup, staging
 from outlay.schemas import AGREEMENT_FIELDS, AMENDMENT_FIELDS, MONEY
 from outlay.session import new_work_path
 from outlay.sources.files import listing
-from outlay.sources.marts import TableFolder
+from outlay.sources.marts import ROLLUP, TableFolder
 
 # Fixed values of the stand-in: the day the run is for, and what marks a single author.
 AS_OF = "2001-08-01"
 INDIVIDUAL_PATTERN = "%standard%"
+#: A provided table may be one file that a single task reads. Loads leave raw rows in many
+#: files, so the stand-in lands its rows once in so many parts, by the key, at every size.
+LANDED_PARTS = 32
 
 
 #: Provided tables the stand-in reads.
@@ -174,10 +177,20 @@ class Marts:
 
     def plan(self, name: str) -> DataFrame:
         """The rows of a table as a plan over its written inputs."""
+        if name == "typed_convenios":
+            return typed_agreements(self.spark, self.sf_dir).repartition(LANDED_PARTS, "id_convenio")
+        if name == "typed_emendas":
+            return typed_amendments(self.spark, self.sf_dir).repartition(LANDED_PARTS, "codigo_emenda")
+        if name == "raw_convenios":
+            return documents(self["typed_convenios"], AGREEMENT_FIELDS, "carregado_em")
+        if name == "raw_emendas":
+            return documents(self["typed_emendas"], AMENDMENT_FIELDS)
         if name == "stg_convenios":
-            return staging.current_agreements(typed_agreements(self.spark, self.sf_dir), AS_OF)
+            return staging.current_agreements(self["typed_convenios"], AS_OF)
         if name == "stg_emendas":
-            return staging.complete_amendments(typed_amendments(self.spark, self.sf_dir))
+            return staging.complete_amendments(self["typed_emendas"])
+        if name == ROLLUP:
+            return rollup.scope_rollup(self["fct_convenios"], self["dim_orgao_superior"], self["dim_municipio"])
         if name == "dim_municipio":
             return dimensions.dim_municipio(self["stg_convenios"])
         if name == "dim_orgao_superior":
@@ -194,5 +207,6 @@ class Marts:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.folder.write(name, self.plan(name))
+            layout = rollup.LAYOUT if name == ROLLUP else ()
+            self._tables[name] = self.folder.write(name, self.plan(name), layout)
         return self._tables[name]

@@ -1,4 +1,5 @@
 import datetime
+import itertools
 import json
 from decimal import Decimal
 
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 
 from outlay.operators.quality import DataTest, DataTestFailure, gate, run_tests
 from outlay.operators.ranking import user_order
-from outlay.plans import dashboard, dimensions, facts, products, staging
+from outlay.plans import dashboard, dimensions, facts, products, rollup, staging
 from outlay.plans.contract import CONTRACT
 from outlay.sources.documents import read_json_product, utc_stamp, write_json_object, write_json_product
+from outlay.sources.marts import TableFolder
 
 NATAL = {
     "codigoIBGE": "2408102",
@@ -286,3 +288,38 @@ def test_failing_tests_close_the_gate(spark, star, amendments):
 def test_unknown_test_kind(spark):
     with pytest.raises(ValueError, match="unknown"):
         run_tests({"t": spark.range(1)}, [DataTest("odd", "t", "id")])
+
+
+def test_the_rollup_answers_as_the_fact_does(spark, star, folder):
+    fact, place, agency = star["fct_convenios"], star["dim_municipio"], star["dim_orgao_superior"]
+    marts = TableFolder(spark, folder)
+    cube = marts.write("rollup_convenios", rollup.scope_rollup(fact, agency, place), rollup.LAYOUT)
+    names = [None, *{r["nome_regiao"] for r in place.collect()}, "nowhere"]
+    states = [None, *{r["uf_nome"] for r in place.collect()}]
+    towns = [None, "", *{r["nome_municipio"] for r in place.collect()}]
+    for regiao, uf, municipio in itertools.product(names, states, towns):
+        filters = {"regiao": regiao, "uf": uf, "municipio": municipio}
+        for found, expected in (
+            (rollup.rollup_kpis(cube, **filters), dashboard.dashboard_kpis(fact, place, **filters)),
+            (rollup.rollup_ranking(cube, 2, **filters), dashboard.dashboard_ranking(fact, agency, place, 2, **filters)),
+            (rollup.rollup_serie(cube, **filters), dashboard.dashboard_serie(fact, place, **filters)),
+        ):
+            assert found.schema.simpleString() == expected.schema.simpleString()
+            assert found.collect() == expected.collect(), filters
+
+
+def test_a_rollup_query_reads_the_rows_of_one_level(spark, star, folder):
+    marts = TableFolder(spark, folder)
+    cube = marts.write(
+        "rollup_convenios",
+        rollup.scope_rollup(star["fct_convenios"], star["dim_orgao_superior"], star["dim_municipio"]),
+        rollup.LAYOUT,
+    )
+    plan = rollup.rollup_serie(cube, regiao="Nordeste")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "(nivel" in plan.split("PartitionFilters")[1] and "PushedFilters: [IsNotNull(nome_regiao)" in plan
+
+
+def test_the_rollup_of_nothing_answers(spark, star):
+    nothing = rollup.scope_rollup(star["fct_convenios"].limit(0), star["dim_orgao_superior"], star["dim_municipio"])
+    assert tuple(rollup.rollup_kpis(nothing).first()) == (None, None, 0, 0)
+    assert rollup.rollup_ranking(nothing).count() == 0 and rollup.rollup_serie(nothing, uf="X").count() == 0
