@@ -37,7 +37,7 @@ from outlay.operators.quality import (
     unique_failures,
 )
 from outlay.operators.versions import latest_version, representative
-from outlay.plans import dashboard, products, rollup, staging
+from outlay.plans import dashboard, newest, products, rollup, staging
 from outlay.plans.contract import CONTRACT
 from outlay.plans.interval import product_tables, run_interval
 from outlay.schemas import AGREEMENT_FIELDS, MONEY, MONEY_TOTAL, document_schema
@@ -53,6 +53,7 @@ from outlay.standin import (
     agreement_documents,
     amendment_documents,
     brl_text,
+    documents,
     table,
 )
 from outlay.streaming.landing import load_landed_intervals
@@ -856,6 +857,28 @@ def load_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_events(spark, path).select("event_id", "event_type", "janela_inicio", "janela_fim")
 
 
+@query
+def newest_kept_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest versions after three loads, brought up to date after each.
+
+    A second window repeats the finished orders at double value; its replay
+    leaves out one agency, whose orders fall back to the first window.
+    """
+    typed = Marts.of(spark, sf_dir)["typed_convenios"]
+    doubled = typed.where("situacao = 'F'").withColumn("valor", (F.col("valor") * 2).cast(MONEY))
+    log = raw.agreements_log(spark, new_work_path(spark, "raw"))
+    state = newest.state_log(log, new_work_path(spark, "state"))
+    loads = [
+        (typed, "2001-07-01", "2001-07-07", "2001-07-08 06:00:00"),
+        (doubled, "2001-07-02", "2001-07-08", "2001-07-09 06:00:00"),
+        (doubled.where("orgao_superior_codigo <> '5-LOW'"), "2001-07-02", "2001-07-08", "2001-07-10 06:00:00"),
+    ]
+    for rows, start, end, stamp in loads:
+        raw.load_window(documents(rows, AGREEMENT_FIELDS), log.path, start, end, stamp)
+        current = newest.refresh(log, state)
+    return staging.complete_and_recent(current, AS_OF).select("id_convenio", "valor", "situacao", "janela_fim")
+
+
 # --- data tests ---------------------------------------------------------------
 
 

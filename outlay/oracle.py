@@ -715,6 +715,11 @@ group by l_orderkey having count(*) > 1""",
 select o_orderstatus, count(*) as n_records from orders where o_orderstatus not in ('F', 'O')
 group by o_orderstatus""",
     "negative_balances": "select * from customer where c_acctbal < 0",
+    "newest_kept_by_load": f"""with {AGREEMENTS}
+select id_convenio, cast(case when situacao = 'F' and orgao_superior_codigo <> '5-LOW' then 2 * valor else valor end as decimal(18, 2)) as valor,
+    situacao,
+    case when situacao = 'F' and orgao_superior_codigo <> '5-LOW' then date '2001-07-08' else date '2001-07-07' end as janela_fim
+from stg""",
     "interval_runs": f"""with {AGREEMENTS}
 select orgao_superior_codigo as codigo, min(orgao_superior_nome) as nome, min(orgao_superior_sigla) as sigla,
     cast(sum(case when situacao = 'F' then 2 * valor else valor end) as decimal(38, 2)) as valor_total,

@@ -38,13 +38,22 @@ def current_agreements(typed: DataFrame, as_of: date | str, keep_years: int = 3)
     The version is chosen before the filters: an agreement whose newest version
     lost its municipality is gone, even when an older version had one.
     """
-    newest = [name for name in ("carregado_em", "janela_fim", "janela_inicio") if name in typed.columns]
-    current = latest_version(typed, ["id_convenio"], newest)
+    current = latest_version(typed, ["id_convenio"], version_columns(typed))
+    return complete_and_recent(current, as_of, keep_years).drop("janela_inicio", "janela_fim")
+
+
+def version_columns(typed: DataFrame) -> list[str]:
+    """What makes one version of an agreement newer than another, most significant first."""
+    return [name for name in ("carregado_em", "janela_fim", "janela_inicio") if name in typed.columns]
+
+
+def complete_and_recent(current: DataFrame, as_of: date | str, keep_years: int = 3) -> DataFrame:
+    """The newest versions that name a municipality and an agency and were published recently."""
     return current.where(
         F.col("municipio_codigo_ibge").isNotNull()
         & F.col("orgao_superior_codigo").isNotNull()
         & (F.col("data_publicacao") >= recency_bound(as_of, keep_years))
-    ).drop("janela_inicio", "janela_fim")
+    )
 
 
 def complete_amendments(typed: DataFrame) -> DataFrame:
