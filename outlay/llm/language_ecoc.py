@@ -20,10 +20,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.common import WorkTables, doc_bucket, id_and_text
+from outlay.llm.labelled import smallest_hashes
 
 #: Training documents per language.
 SAMPLE_PER_LANGUAGE = 2000
@@ -142,10 +143,7 @@ def _sample(docs: DataFrame) -> DataFrame:
     """``doc_id, lang, text``: per language the documents of smallest id hash, none of the held-out ones."""
     known = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (doc_bucket(F.col("doc_id"), 4) != 2))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # The limit is applied before and after the exchange, so few rows per language and task move.
-    chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-    chosen = chosen.where(F.col("place") <= SAMPLE_PER_LANGUAGE).drop("place").distinct()
+    chosen = smallest_hashes(known.select("doc_id", "lang"), "lang", SAMPLE_PER_LANGUAGE)
     # Two numbers for each of at most SAMPLE_PER_LANGUAGE documents per language.
     return known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 

@@ -8,9 +8,11 @@ import brute
 import numpy as np
 import pytest
 from conftest import REPEATED, ROWS, prose
+from pyspark.sql import functions as F
 
 from outlay.llm import language_ecoc, personal_data, quality_crf, toxicity_gru
 from outlay.llm.boosted_trees import Boosted, Leaf, Split, boost, calibrated_threshold
+from outlay.llm.labelled import smallest_hashes
 
 TONGUES = {
     "aa": "kala mora tiva suna leko para".split(),
@@ -264,7 +266,6 @@ def test_very_long_runs_are_matched_in_linear_time(make):
 
 
 def test_trees_as_columns_equal_trees(spark):
-    from pyspark.sql import functions as F
 
     draw = np.random.default_rng(5)
     rows = draw.integers(0, 4, (60, 3))
@@ -283,3 +284,14 @@ def test_threshold_reaches_the_precision():
     assert calibrated_threshold(odds, positive, negative, 1.0) == 3.0
     assert calibrated_threshold(odds[:0], positive[:0], negative[:0], 0.9) == float("inf")
     assert Boosted(0.5, [Split(0, 1, Leaf(1.0), Leaf(-1.0))]).log_odds(np.array([[0], [2]])).tolist() == [1.5, -0.5]
+
+
+@pytest.mark.parametrize("per_value", [1, 30, 10_000])
+def test_the_sample_is_the_ids_of_smallest_hash(spark, per_value):
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("lang"))
+    ids = ids.unionByName(spark.createDataFrame([(None, "none")], "doc_id long, lang string"))
+    found = {(r.doc_id, r.lang) for r in smallest_hashes(ids, "lang", per_value).collect()}
+    rows = sorted((r[0], r[1], r[2]) for r in ids.where("doc_id IS NOT NULL").select(F.xxhash64("doc_id"), "doc_id", "lang").collect())
+    expected = {(i, lang) for value in ("rare", "hot") for _, i, lang in [row for row in rows if row[2] == value][:per_value]}
+    assert found - {(None, "none")} == expected
+    assert smallest_hashes(ids.limit(0), "lang", per_value).count() == 0
