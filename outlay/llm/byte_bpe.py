@@ -43,8 +43,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class ByteBpe:
     """Encoder and decoder for one rank table and one piece pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = _REMEMBERED) -> None:
         self.ranks = ranks
+        self._remembered = remembered
         self.pattern = regex.compile(pattern)
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self._no_rank = max(ranks.values(), default=0) + 1
@@ -68,7 +69,7 @@ class ByteBpe:
             if i < len(ranks):
                 ranks[i] = rank_of(both + parts[i + 1], none)
         if len(data) <= 2 * LEAF_BYTES:
-            if len(self._merged) > _REMEMBERED:
+            if len(self._merged) > self._remembered:
                 self._merged.clear()
             self._merged[data] = parts
         return parts
@@ -110,7 +111,7 @@ class ByteBpe:
         key = (left, right)
         found = self._stable.get(key)
         if found is None:
-            if len(self._stable) > _REMEMBERED:
+            if len(self._stable) > self._remembered:
                 self._stable.clear()
             found = self._stable[key] = self._merge(left + right) == [left, right]
         return found
