@@ -82,15 +82,25 @@ def _counts_as_base(kind: str, span: Column) -> Column:
     return F.lit(True) if kind == "email" else _valid(kind, span["match"])
 
 
-def _placed(text: Column, matches: Column, pattern: str) -> Column:
-    """start, end (code points), the match and what stands around it, for every match.
+_SPAN = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+#: Matches that are placed one after the other; groups of them are placed by their lengths.
+_GROUP = 256
 
-    A match begins after the gaps and matches before it; gaps are what a split
-    by the same pattern leaves.
-    """
+
+def _items(text: Column, matches: Column, pattern: str) -> Column:
+    """Every match with the gaps around it: what a split by the same pattern leaves."""
     gaps = F.split(text, pattern, -1)
-    kind = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    return F.arrays_zip(
+        F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match"), F.slice(gaps, 2, F.size(matches)).alias("next")
+    )
+
+
+def _grouped(items: Column) -> Column:
+    """Groups of matches: their length together, and each one's place from the group's begin.
+
+    Growing an array copies it, so a text with very many matches needs short ones.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
 
     def add(state: Column, item: Column) -> Column:
         begin = state["at"] + F.length(item["gap"])
@@ -104,11 +114,28 @@ def _placed(text: Column, matches: Column, pattern: str) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
 
-    items = F.arrays_zip(
-        F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match"), F.slice(gaps, 2, F.size(matches)).alias("next")
+    numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _GROUP).cast("int"))
+    groups = F.transform(numbers, lambda g: F.aggregate(F.slice(items, g * _GROUP + 1, F.lit(_GROUP)), start, add))
+    return F.when(F.size(items) > 0, groups).otherwise(F.array().cast(f"array<struct<at:int,found:{_SPAN}>>"))
+
+
+def _placed(groups: Column) -> Column:
+    """start, end (code points), the match and what stands around it, for every match."""
+    begins = F.aggregate(
+        groups, F.array(F.lit(0)), lambda so_far, group: F.concat(so_far, F.array(F.element_at(so_far, -1) + group["at"]))
     )
-    placed = F.aggregate(items, start, add, lambda state: state["found"])
-    return F.when(F.size(matches) > 0, placed).otherwise(F.array().cast(kind))
+
+    def moved(group: Column, begin: Column) -> Column:
+        return F.transform(
+            group["found"],
+            lambda span: F.struct(
+                (span["start"] + begin).alias("start"),
+                (span["end"] + begin).alias("end"),
+                *[span[name].alias(name) for name in ("match", "before", "after")],
+            ),
+        )
+
+    return F.flatten(F.zip_with(groups, F.slice(begins, F.lit(1), F.size(groups)), moved))
 
 
 def _char_class(sign: Column) -> Column:
@@ -154,12 +181,15 @@ def _candidates(docs: DataFrame) -> DataFrame:
         for k in KINDS
     ]
     rows = rows.select("doc_id", "text", *found)
-    placed = [
-        _placed(F.col("text"), F.col(f"{sign}_{k}"), patterns[k]).alias(f"{sign}_{k}")
+    items = [
+        _items(F.col("text"), F.col(f"{sign}_{k}"), patterns[k]).alias(f"{sign}_{k}")
         for sign, patterns in (("b", BASE_PATTERNS), ("w", WIDE_PATTERNS))
         for k in KINDS
     ]
-    rows = rows.select("doc_id", *placed)
+    rows = rows.select("doc_id", *items)
+    # Each step names the one before it more than once, so Spark does not write them into one another.
+    for step in (_grouped, _placed):
+        rows = rows.select("doc_id", *[step(F.col(f"{sign}_{k}")).alias(f"{sign}_{k}") for sign in "bw" for k in KINDS])
     checked = []
     for k in KINDS:
         checked.append(F.filter(f"b_{k}", partial(_counts_as_base, k)).alias(f"b_{k}"))
@@ -185,6 +215,18 @@ def _numbered(number: int, span: Column) -> Column:
     return F.struct(span["start"].alias("start"), F.lit(number).alias("kind"), span["end"].alias("end"))
 
 
+def _as_number(span: Column) -> Column:
+    """A span as one number; texts have fewer than 2^30 characters."""
+    return span["start"].cast("long") * 2**32 + span["end"].cast("long") * 4 + span["kind"].cast("long")
+
+
+def _from_number(number: Column) -> Column:
+    end = F.floor((number % 2**32) / 4)
+    return F.struct(
+        F.shiftright(number, 32).cast("int").alias("start"), (number % 4).cast("int").alias("kind"), end.cast("int").alias("end")
+    )
+
+
 def _above(trees: Boosted, threshold: float, candidate: Column) -> Column:
     return trees.column(lambda f: candidate[FEATURES[f]]) >= threshold
 
@@ -227,6 +269,9 @@ def _spans(docs: DataFrame, model: SpanModel) -> DataFrame:
     kind = "array<struct<start:int,kind:int,end:int>>"
     added = F.concat(*chosen) if chosen else F.array().cast(kind)
     rows = rows.select("doc_id", *counts, F.array_sort(base.cast(kind)).alias("base"), added.cast(kind).alias("added"))
+    # Most candidates that are chosen are base spans themselves. As numbers they leave by hash, not one against all.
+    others = F.array_except(F.transform("added", _as_number), F.transform("base", _as_number))
+    rows = rows.withColumn("added", F.transform(others, _from_number).cast(kind))
     apart = F.filter(
         "added", lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"]))
     )

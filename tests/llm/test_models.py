@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 import zlib
 
 import brute
@@ -295,3 +296,15 @@ def test_the_sample_is_the_ids_of_smallest_hash(spark, per_value):
     expected = {(i, lang) for value in ("rare", "hot") for _, i, lang in [row for row in rows if row[2] == value][:per_value]}
     assert found - {(None, "none")} == expected
     assert smallest_hashes(ids.limit(0), "lang", per_value).count() == 0
+
+
+def test_a_text_with_very_many_matches(make):
+    text = " ".join(f"n{i}@host.org 10.0.{i % 250}.1" for i in range(20_000))
+    docs = make([(1, text), (2, "clean"), (3, "a@b.cd")])
+    begin = time.monotonic()
+    found = {r.doc_id: r for r in personal_data.personal_data(docs, personal_data.train(docs)).collect()}
+    assert time.monotonic() - begin < 240
+    spans = brute.base_spans(text)
+    named = [f"{brute.KINDS[k]}:{a}:{b}" for a, k, b in spans]
+    assert (found[1].n_email, found[1].n_ip) == (20_000, 20_000) and found[1].base_sha256 == brute.sha(",".join(named))
+    assert set(named) <= set(found[1].spans.split(","))
