@@ -42,8 +42,12 @@ from outlay.llm.common import WorkTables
 MASKS = ("1110110101", "1101011011", "1011101101")
 SPAN = 10
 BLOCK_SEEDS = 1_000_000
+#: What tells a text: rows that agree in both are the same text of the same document.
+TEXT = ("doc_id", "digest")
 #: Letters of scripts written without spaces.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: They all begin with this character or later.
+LATER_SCRIPTS = r"[\x{0E00}-\x{10FFFF}]"
 AGREEING_PERCENT = 75
 STRETCH_WORDS = 20
 STRETCH_AGREEING = 15
@@ -56,11 +60,18 @@ LIGHT_AGREEING = 8 - LIGHT_SPAN
 def _word_hashes(text: Column) -> Column:
     """64-bit hashes of the words of a text, in order; null and wordless texts have none."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
-    words = F.split(apart, r"[^\p{L}\p{N}]+")
+    # Asking for scripts is slow, and most texts have no character from where these scripts begin.
+    unspaced = lower.rlike(LATER_SCRIPTS) & lower.rlike(UNSPACED)
+    apart = F.when(unspaced, F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
+    words = F.split(apart, r"[^a-z0-9\p{L}\p{N}]+")
     return F.transform(F.filter(words, lambda word: word != ""), lambda word: F.xxhash64(word))
 
 
+def _digest(text: Column) -> Column:
+    """Tells the texts of one doc_id, or of none, apart."""
+    return F.concat_ws("-", F.xxhash64(text), F.xxhash64(F.lit(1), text))
+
+
 def _windows(rows: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns, window start ``at`` and ``seed`` for every window and mask of ``h``."""
     starts = F.sequence(F.lit(0), F.size("h") - SPAN)
@@ -85,11 +96,11 @@ def _items(work: WorkTables, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
-    """``doc_id, item, diagonal, part``: hit diagonals, with the document's words along the item."""
+    """``doc_id, digest, item, diagonal, part``: hit diagonals, with the document's words along the item."""
     seeds = _windows(items, "item").select("item", F.col("at").alias("item_at"), F.size("h").alias("item_words"), "seed")
     seeds = work.keep(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
-    windows = _windows(docs, "doc_id")
+    windows = _windows(docs, *TEXT)
     found = []
     for block in range(blocks):
         part = seeds.where(F.pmod("seed", F.lit(blocks)) == block)
@@ -98,7 +109,7 @@ def _hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
         begin = F.greatest(diagonal, F.lit(0))
         length = F.least(diagonal + F.col("item_words"), F.size("h")) - begin
         found.append(
-            joined.select("doc_id", "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
+            joined.select(*TEXT, "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
         )
     return reduce(DataFrame.unionByName, found)
 
@@ -128,8 +139,8 @@ def _light_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFram
         "light-seeds",
     )
     blocks = max(1, -(-4 * seeds.count() // BLOCK_SEEDS))  # their rows are longer
-    windows = docs.where(F.size("h") >= LIGHT_SPAN).select("doc_id", "h", starts)
-    windows = windows.select("doc_id", "h", "at", _light_seed(F.col("at")).alias("seed"))
+    windows = docs.where(F.size("h") >= LIGHT_SPAN).select(*TEXT, "h", starts)
+    windows = windows.select(*TEXT, "h", "at", _light_seed(F.col("at")).alias("seed"))
     # Written out word by word, so that it stays generated code inside the join.
     equal = [F.coalesce(w == F.col("around")[i], F.lit(False)).cast("int") for i, w in enumerate(_around(F.col("at")))]
     found = []
@@ -141,13 +152,13 @@ def _light_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFram
         begin = F.greatest(diagonal, F.lit(0))
         length = F.least(diagonal + F.col("item_words"), F.size("h")) - begin
         found.append(
-            joined.select("doc_id", "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
+            joined.select(*TEXT, "item", diagonal.alias("diagonal"), F.slice("h", begin + 1, length).alias("part"))
         )
     return reduce(DataFrame.unionByName, found)
 
 
 def _short_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFrame:
-    """``doc_id, item, diagonal, part`` for items of fewer than ``SPAN`` words that stand whole in a document.
+    """``doc_id, digest, item, diagonal, part`` for items of fewer than ``SPAN`` words that stand whole in a document.
 
     The diagonal is 0 and the part the item's own words, whatever their place.
     """
@@ -155,34 +166,32 @@ def _short_hits(docs: DataFrame, items: DataFrame, work: WorkTables) -> DataFram
     lengths = sorted(row["n"] for row in short.select(F.size("h").alias("n")).distinct().collect())
     seeds = work.keep(short.select("item", F.xxhash64(F.size("h"), "h").alias("item_seed")), "short-seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS)) if lengths else 0
-    found = [docs.join(items.limit(0), F.lit(False)).select("doc_id", "item", F.lit(0).alias("diagonal"), docs["h"].alias("part"))]
+    found = [docs.join(items.limit(0), F.lit(False)).select(*TEXT, "item", F.lit(0).alias("diagonal"), docs["h"].alias("part"))]
     for n in lengths:
         starts = F.explode(F.sequence(F.lit(0), F.size("h") - n)).alias("at")
         window = F.slice("h", F.col("at") + 1, n)
-        windows = docs.where(F.size("h") >= n).select("doc_id", "h", starts)
-        windows = windows.select("doc_id", window.alias("part")).withColumn("seed", F.xxhash64(F.lit(n), "part"))
+        windows = docs.where(F.size("h") >= n).select(*TEXT, "h", starts)
+        windows = windows.select(*TEXT, window.alias("part")).withColumn("seed", F.xxhash64(F.lit(n), "part"))
         for block in range(blocks):
             part = seeds.where(F.pmod("item_seed", F.lit(blocks)) == block)
             joined = windows.join(F.broadcast(part), F.col("seed") == F.col("item_seed"))
-            found.append(joined.select("doc_id", "item", F.lit(0).alias("diagonal"), "part"))
+            found.append(joined.select(*TEXT, "item", F.lit(0).alias("diagonal"), "part"))
     return reduce(DataFrame.unionByName, found)
 
 
-def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per contaminated document and item: doc_id, item_id, item_words, agreeing_words, best_stretch.
-
-    ``best_stretch`` is the largest number of agreeing words among 20 in a row
-    of one diagonal. Null and wordless texts hit nothing; items without an id
-    are reported with a null item_id; items with the same words are all reported; rows that share a
-    doc_id, null included, are one document. Empty tables give no rows.
-    """
+def _contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, digest, item_id, item_words, agreeing_words, best_stretch`` of each contaminated text and item."""
     work = WorkTables(docs.sparkSession, "decontamination")
     items, ids = _items(work, benchmark)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _word_hashes(docs["text"]).alias("h"))
+    texts = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), _digest(docs["text"]).alias("digest"), _word_hashes(docs["text"]).alias("h")
+    )
+    keys = [*TEXT, "item"]
     both = _hits(texts, items, work).withColumn("light", F.lit(False)).unionByName(
         _light_hits(texts, items, work).unionByName(_short_hits(texts, items, work)).withColumn("light", F.lit(True))
     )
-    hits = both.groupBy("doc_id", "item", "diagonal").agg(F.first("part").alias("part"), F.min("light").alias("light"))
+    # Of one text all parts of a diagonal are the same words.
+    hits = both.groupBy(*keys, "diagonal").agg(F.first("part").alias("part"), F.min("light").alias("light"))
     hits = work.keep(hits, "hits")
     # The item's position that the part's first word stands at.
     first = F.greatest(-F.col("diagonal"), F.lit(0))
@@ -190,7 +199,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "part", lambda word, i: F.when(word == F.get(F.col("h"), (first + i).cast("int")), first + i)
     )
     agreeing = hits.join(items, "item").select(
-        "doc_id", "item", F.size("h").alias("item_words"), equal.alias("equal"), "light"
+        *keys, F.size("h").alias("item_words"), equal.alias("equal"), "light"
     )
     windows = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("equal") - STRETCH_WORDS + 1, F.lit(1))),
@@ -201,20 +210,21 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return (100 * agreeing_words >= AGREEING_PERCENT * F.col("item_words")) | (stretch >= STRETCH_AGREEING)
 
     per_diagonal = agreeing.select(
-        "doc_id",
-        "item",
+        *keys,
         "item_words",
         "light",
         F.array_max(windows).alias("stretch"),
         F.array_compact("equal").alias("places"),
     )
     per_diagonal = per_diagonal.where(~F.col("light") | enough(F.size("places"), F.col("stretch")))
-    per_item = per_diagonal.groupBy("doc_id", "item", "item_words").agg(
+    per_item = per_diagonal.groupBy(*keys, "item_words").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("agreeing_words"),
         F.max("stretch").alias("best_stretch"),
     )
     return per_item.where(enough(F.col("agreeing_words"), F.col("best_stretch"))).join(ids, "item").select(
         "doc_id",
+        "digest",
+        "item",
         "item_id",
         F.col("item_words").cast("long").alias("item_words"),
         F.col("agreeing_words").cast("long").alias("agreeing_words"),
@@ -222,8 +232,27 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per contaminated document and item: doc_id, item_id, item_words, agreeing_words, best_stretch.
+
+    ``best_stretch`` is the largest number of agreeing words among 20 in a row
+    of one diagonal. Null and wordless texts hit nothing; items without an id
+    are reported with a null item_id; items with the same words are all reported.
+    Rows that share a doc_id, null included, are one document, contaminated if
+    one of its texts is; the largest numbers of its texts count, whatever their
+    order. Empty tables give no rows.
+    """
+    counts = ("agreeing_words", "best_stretch")
+    found = _contaminated(docs, benchmark).groupBy("doc_id", "item_id", "item_words", "item")
+    return found.agg(*[F.max(name).alias(name) for name in counts]).drop("item")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates, with all their columns."""
-    found = contaminated_documents(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
+    """The rows of ``docs`` that no benchmark item contaminates, with all their columns.
+
+    Rows are decided one by one, by doc_id and text: a clean text stays, whatever else stands under its doc_id or without one.
+    """
+    found = _contaminated(docs, benchmark).select(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest")).distinct()
     found = WorkTables(docs.sparkSession, "decontamination-stage").keep(found, "found")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_found")), "left_anti").select(docs.columns)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc_id")) & (_digest(docs["text"]) == F.col("_digest"))
+    return docs.join(found, same, "left_anti")

@@ -94,7 +94,9 @@ def test_contamination_of_awkward_rows(repeated, empty, spark):
     found = {r.doc_id for r in contaminated_documents(repeated, benchmark).collect()}
     assert found == {5, 6, 7, 13, None}
     kept = drop_contaminated(repeated, benchmark)
-    assert kept.columns == repeated.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in ROWS} - found
+    # The clean texts under doc_id 5 and without doc_id stay.
+    assert kept.columns == repeated.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in ROWS} - {6, 7, 13} | {None}
+    assert all((r.text or "").lower() != ROWS[4][1].lower() for r in kept.collect())
     for docs, items in ((empty, benchmark), (repeated, benchmark.limit(0))):
         assert contaminated_documents(docs, items).count() == 0
         assert drop_contaminated(docs, items).count() == docs.count()
@@ -140,3 +142,15 @@ def test_pipeline_of_empty_and_awkward_tables(spark, repeated, tmp_path):
         # Nothing is learned without labels, so nothing is rejected; copies go. One doc_id may stand for two texts.
         assert len(found) == len(set(found)) and (len(found) == 0) == (name == "empty")
     assert len(REPEATED)
+
+
+def test_texts_of_one_doc_id_are_judged_apart(make, spark):
+    item = prose(70, 40)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    half, clean = " ".join(item.split()[:10]) + " " + prose(71, 30), prose(72, 50)
+    rows = [(7, half), (7, item), (7, clean), (None, item), (None, clean), (8, None)]
+    for order in (rows, rows[::-1]):
+        found = {(r.doc_id, r.item_id, r.agreeing_words) for r in contaminated_documents(make(order), items).collect()}
+        assert found == {(7, 1, 40), (None, 1, 40)}
+        kept = sorted((r.doc_id or 0, r.text or "") for r in drop_contaminated(make(order), items).collect())
+        assert kept == sorted([(7, half), (7, clean), (0, clean), (8, "")])
