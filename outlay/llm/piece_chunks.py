@@ -192,9 +192,10 @@ def unmarked(marked: str) -> str:
 class ChunkTable(dict):
     """chunk -> (ids as little-endian 32-bit numbers, decoded characters).
 
-    It starts with the shared rows. Other chunks are added when they are met,
-    up to a number of bytes; then the added ones go, which changes no value.
-    Chunks above ``LONG`` bytes are not remembered.
+    It starts with the shared rows. Other chunks are added when they are met.
+    When they fill half the room, all become the old generation, from which
+    chunks in use come back; the one before goes, which changes no value.
+    Chunks above ``LONG`` characters are not remembered.
     """
 
     LONG = 256
@@ -202,18 +203,22 @@ class ChunkTable(dict):
     def __init__(self, segmenter: Segmenter, shared: dict[str, tuple[bytes, str]], room: int) -> None:
         super().__init__(shared)
         self.segmenter, self.shared, self.room, self.used = segmenter, shared, room, 0
+        self.old: dict[str, tuple[bytes, str]] = {}
 
     def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        ids = self.segmenter.encode_chunk(chunk)
-        value = (np.asarray(ids, dtype="<u4").tobytes(), self.segmenter.decode_marked(ids))
+        value = self.old.get(chunk)
+        if value is None:
+            ids = self.segmenter.encode_chunk(chunk)
+            value = (np.asarray(ids, dtype="<u4").tobytes(), self.segmenter.decode_marked(ids))
         if len(chunk) <= self.LONG:
             self[chunk] = value
             self.used += 300 + 8 * len(chunk)  # about what the entry takes
         return value
 
     def turn(self) -> None:
-        """Between texts: forget the added chunks when they fill the room."""
-        if self.used > self.room:
+        """Between texts: begin a new generation when the added chunks fill half the room."""
+        if self.used > self.room // 2:
+            self.old = dict(self)
             self.clear()
             self.update(self.shared)
             self.used = 0

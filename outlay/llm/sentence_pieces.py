@@ -33,10 +33,10 @@ from outlay.llm.piece_chunks import ChunkTable, Segmenter, Vocabulary, chunks, l
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Bounds of the broadcast table.
-TABLE_ROWS = 100_000
+TABLE_ROWS = 200_000
 TABLE_BYTES = 8 << 20
 #: Bytes of chunks that a worker remembers besides the table.
-WORKER_BYTES = 64 << 20
+WORKER_BYTES = 96 << 20
 #: Distinct chunks that a task counts before it hands them on.
 COUNTED_AT_ONCE = 200_000
 
