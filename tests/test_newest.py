@@ -1,5 +1,6 @@
 """The newest versions kept load by load equal the full ranking."""
 
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from fixtures import agreement, documents
 from outlay.plans import newest, staging
 from outlay.sources import raw
 from outlay.sources.commits import CommitLog
+from outlay.sources.landing import ingest_records, write_landing
 
 WINDOWS = [("2026-07-01", "2026-07-07"), ("2026-07-02", "2026-07-08"), ("2026-07-03", "2026-07-09")]
 
@@ -78,3 +80,27 @@ def test_reading_what_was_never_loaded_makes_no_state(spark, folder):
     log = raw.agreements_log(spark, f"{folder}/none")
     with pytest.raises(FileNotFoundError):
         raw.read_raw(log)
+
+
+def test_a_refresh_ranks_new_versions_once(spark, folder):
+    log = raw.agreements_log(spark, f"{folder}/raw")
+    state = newest.state_log(log, f"{folder}/state")
+    raw.load_window(documents(spark, [agreement(i) for i in range(9)]), log.path, *WINDOWS[0], "2026-07-10 06:00:00")
+    newest.refresh(log, state, 4)
+    base, before = state.latest(), log.latest()
+    raw.load_window(documents(spark, [agreement(3, valor=5.0)]), log.path, *WINDOWS[1], "2026-07-11 06:00:00")
+    now = log.latest().parts
+    rows, touched = newest._merged(log, state, base.parts, now, *newest._changes(log, before.version, now), 4)
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert len(touched) == 1 and sum("Window [" in line for line in lines) == 1
+
+
+def test_loads_and_landings_are_compressed(spark, folder):
+    log = raw.agreements_log(spark, f"{folder}/raw")
+    raw.load_window(documents(spark, [agreement(1)]), log.path, *WINDOWS[0], "2026-07-10 06:00:00")
+    assert all(path.endswith(".zstd.parquet") for path in log.read().inputFiles())
+    records = spark.createDataFrame([(1, "a"), (2, None)], "id int, nome string")
+    for rows, found in ((records, 2), (records.where("id > 2"), 0)):
+        path = write_landing(rows, f"{folder}/landing", "2026-07-07", "gzip")
+        assert ingest_records(spark, path).count() == found
+        assert any(name.endswith(".gz") for name in os.listdir(path)) and ("no-records.txt" in os.listdir(path)) == (not found)
