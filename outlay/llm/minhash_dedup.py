@@ -50,6 +50,8 @@ BROADCAST_NODES = 200_000
 #: Sizes of one class differ by less than this factor.
 SIZE_STEP = 1.05
 _DOCS_AT_ONCE = 256
+#: A task combines the shingles of so many at once (16 bytes each).
+_SHINGLES_AT_ONCE = 2_000_000
 
 
 def _signed(docs: DataFrame) -> DataFrame:
@@ -205,10 +207,43 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
+def _held(sets: DataFrame) -> DataFrame:
+    """``shingle, low, high``: what a task's nodes hold, and the smallest and largest of the holders.
+
+    A task hands on a shingle once for all the nodes it combines, so the shingles
+    that a large group shares are not multiplied by its members.
+    """
+
+    def combined(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts)
+        shingle = np.concatenate(rows["shingles"].to_numpy())
+        node = np.repeat(rows["node"].to_numpy(), rows["shingles"].map(len))
+        order = np.lexsort((node, shingle))
+        shingle, node = shingle[order], node[order]
+        last = np.append(shingle[1:] != shingle[:-1], True)
+        first = np.append(True, last[:-1])
+        return pd.DataFrame({"shingle": shingle[first], "low": node[first], "high": node[last]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, held = [], 0
+        for batch in batches:
+            batch = batch[batch["shingles"].map(len) > 0]
+            for at in range(0, len(batch), _DOCS_AT_ONCE):
+                parts.append(batch.iloc[at : at + _DOCS_AT_ONCE])
+                held += int(parts[-1]["shingles"].map(len).sum())
+                if held > _SHINGLES_AT_ONCE:
+                    yield combined(parts)
+                    parts, held = [], 0
+        if parts:
+            yield combined(parts)
+
+    return sets.select("node", "shingles").mapInPandas(run, "shingle long, low long, high long")
+
+
 def _found_elsewhere(sets: DataFrame) -> np.ndarray:
     """A bit field over the shingles that two nodes or more have."""
-    members = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
-    common = members.agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    members = _held(sets).groupBy("shingle")
+    common = members.agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
     return bit_field(common, "shingle")
 
 
@@ -269,7 +304,7 @@ def _remaining(work: WorkTables, shared: DataFrame, roots: DataFrame, nodes: Dat
 
 def _outside(placed: DataFrame, *more: Column) -> DataFrame:
     """Members outside the largest component, under other names."""
-    names = {"node": "x", "root": "root_x", "n": "n_x", "c": "c_x", "bands": "bands_x", "sketch": "sketch_x"}
+    names = {"node": "x", "root": "root_x", "n": "n_x", "c": "c_x", "bands": "bands_x", "sketch": "sketch_x", "keys": "keys_x"}
     outside = placed.where("root <> largest").drop("largest")
     kept = [F.col(c).alias(names.get(c, c)) for c in outside.columns]
     return outside.select(*kept, *more)
@@ -280,9 +315,20 @@ def _once() -> Column:
     return (F.col("root") != F.col("root_x")) & ((F.col("root") == F.col("largest")) | (F.col("x") < F.col("node")))
 
 
+def _buckets_of(placed: DataFrame) -> DataFrame:
+    """``node, keys``: the buckets of each node, at most ``BANDS`` for a text."""
+    return placed.groupBy("node").agg(F.collect_set("key").alias("keys"))
+
+
+def _in_first_bucket() -> Column:
+    """Whether a pair meets in the first of the buckets it shares; similar members share many."""
+    return F.array_min(F.array_intersect("keys", "keys_x")) == F.col("key")
+
+
 def _remaining_in_large(work: WorkTables, placed: DataFrame, sets: DataFrame) -> DataFrame:
     in_question = work.keep(_only(sets, placed.select("node")), "in-question")
-    placed = placed.drop("n", "bands").join(work.keep(_open_nodes(in_question), "open"), "node")
+    opened = work.keep(_open_nodes(in_question), "open")
+    placed = placed.drop("n", "bands").join(opened.join(_buckets_of(placed), "node"), "node")
     ratio = LINK_PERCENT / 100
     least = _size_class(F.greatest(F.floor(F.col("n") * ratio), F.lit(1)))
     most = _size_class(F.greatest(F.ceil(F.col("c") * (1 + 1 / ratio) - F.col("n")), F.lit(1)))
@@ -294,7 +340,7 @@ def _remaining_in_large(work: WorkTables, placed: DataFrame, sets: DataFrame) ->
     differing = F.zip_with("sketch", "sketch_x", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     likely = F.aggregate(differing, F.lit(0), lambda total, n: total + n) <= SKETCH_BITS - AGREEING_BITS
     same = (F.col("key_x") == F.col("key")) & (F.col("size_x") == F.col("size"))
-    pairs = outside.join(others, same & _once() & fits & likely)
+    pairs = outside.join(others, same & _once() & fits & likely & _in_first_bucket())
     return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 

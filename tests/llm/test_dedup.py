@@ -8,6 +8,7 @@ import pytest
 from conftest import COPY, REPEATED, ROWS, prose
 
 from outlay.llm import exact_dedup, minhash_dedup, suffix_dedup
+from outlay.llm.bit_filter import passes
 from outlay.llm.common import WorkTables
 from outlay.llm.components import components
 from outlay.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
@@ -118,6 +119,41 @@ def test_a_dropped_table_is_empty(spark):
     assert spark.read.parquet(path).count() == 0 and other.count() == 6
 
 
+@pytest.mark.parametrize("at_once", [2_000_000, 30])
+def test_shingles_of_a_group_are_handed_on_once_a_task(spark, monkeypatch, at_once):
+    """Members of a group share shingles; a task's rows are its distinct shingles, not members times shingles."""
+    monkeypatch.setattr(minhash_dedup, "_SHINGLES_AT_ONCE", at_once)
+    rows = [(node, [*range(-20, 20), 1000 + node]) for node in range(600)] + [(3, [7, 5000]), (9, []), (9, [6000]), (8, [6000])]
+    sets = spark.createDataFrame(rows, "node long, shingles array<long>").coalesce(1)
+    found = [tuple(r) for r in minhash_dedup._held(sets).collect()]
+    holders = {}
+    for node, shingles in rows:
+        for shingle in shingles:
+            holders.setdefault(shingle, set()).add(node)
+    merged = {}
+    for shingle, low, high in found:
+        before = merged.get(shingle, (low, high))
+        merged[shingle] = min(low, before[0]), max(high, before[1])
+    assert merged == {shingle: (min(nodes), max(nodes)) for shingle, nodes in holders.items()}
+    if at_once > 600 * 41:
+        assert len(found) == len(holders)
+    field = minhash_dedup._found_elsewhere(sets)
+    shared = np.array([shingle for shingle, nodes in holders.items() if len(nodes) > 1])
+    assert passes(field, shared).all() and not passes(field, np.arange(1000, 1600)).any()
+    assert not minhash_dedup._found_elsewhere(sets.where("node < 0")).any()
+
+
+def test_a_pair_leaves_one_of_its_large_buckets(spark):
+    sets = [(1, list(range(100))), (2, [*range(99), 200]), (3, [*range(98), 300, 301])]
+    placed = [(key, node, node, 1, 100, [0]) for key in (10, 20, 30) for node, _ in sets if (key, node) != (10, 3)]
+    rows = minhash_dedup._remaining_in_large(
+        WorkTables(spark, "test"),
+        spark.createDataFrame(placed, "key long, node long, root long, largest long, n long, bands array<long>"),
+        spark.createDataFrame(sets, "node long, shingles array<long>"),
+    )
+    assert sorted((r.a, r.b) for r in rows.collect()) == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_a_chain_whose_ends_are_not_similar_is_one_component(make):
     words = prose(9, 100).split()
     rows = []
