@@ -7,8 +7,9 @@ element by element. One level of stripes holds the prefixes of one length:
 - the stripe of the empty prefix counts words; its sum is n;
 - an entry of a stripe is f(prefix and word), so entries of at least
   ``LEAST`` are the candidates one word longer (extensions);
-- the sum of a stripe is f(prefix), as a counter without a word stands for
-  places where no such word follows (prefix totals);
+- so the total of a prefix is its entry one level below (prefix totals), and
+  places where no word follows that may be frequent need no counter: their
+  number grows faster than the input, as ever more prefixes reach ``LEAST``;
 - the largest entry of a stripe is what a phrase's continuation reaches, and
   the largest entry over all first words what its beginnings reach. A phrase
   inside a longer one as frequent as itself is also inside one that is one word
@@ -56,7 +57,7 @@ def _partial(texts: DataFrame, length: int, known: Broadcast | None) -> DataFram
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 stripes = open_stripes.get(lang)
                 if stripes is None:
-                    stripes = open_stripes[lang] = Stripes(lang, length, frequent, hot)
+                    stripes = open_stripes[lang] = Stripes(lang, length, frequent, hot, ends=False)
                 stripes.add(text.as_py())
                 if stripes.full():
                     yield from stripes.flush()
@@ -131,8 +132,8 @@ def collocations(docs: DataFrame, least: int = LEAST, per_language: int = PER_LA
         if length < LONGEST - 1:
             known = spark.sparkContext.broadcast(_known(grams[-1], all_words))  # 8 MiB and at most SHARES pairs
 
-    totals = reduce(DataFrame.unionByName, levels[1:]).groupBy("lang", "prefix").agg(F.sum("total").alias("l"))
     counts = reduce(DataFrame.unionByName, grams)
+    totals = reduce(DataFrame.unionByName, grams[:-1]).select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     candidates = reduce(DataFrame.unionByName, grams[1:]).withColumn("words", F.split("phrase", " "))
 
     # The largest entry of a phrase's own stripe, and of all stripes that lead to it from a word before.
@@ -151,7 +152,7 @@ def collocations(docs: DataFrame, least: int = LEAST, per_language: int = PER_LA
         F.concat_ws(" ", F.slice("words", F.lit(1), F.col("k"))).alias("first"),
         F.concat_ws(" ", F.slice("words", F.col("k") + 1, F.size("words") - F.col("k"))).alias("rest"),
     )
-    cuts = cuts.join(totals.withColumnRenamed("prefix", "first"), ["lang", "first"])
+    cuts = cuts.join(totals, ["lang", "first"])
     cuts = cuts.join(counts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
     cuts = cuts.join(n, "lang")
     score = F.expr(f"({SCALE} * CAST(a AS DECIMAL(38, 0)) * CAST(n AS DECIMAL(20, 0))) div (CAST(l AS DECIMAL(20, 0)) * CAST(r AS DECIMAL(18, 0)))")

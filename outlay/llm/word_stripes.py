@@ -87,11 +87,12 @@ class Stripes:
     that are frequent enough; a place counts if its prefix may be one, and its
     next word is told apart if the sequence that ends with it may be one, too.
     Otherwise, and at the end of a piece, the counter of the empty word grows,
-    so a stripe's sum is the number of places of its prefix.
+    so a stripe's sum is the number of places of its prefix. Without ``ends``
+    such places are left out, and with them the stripes that hold nothing else.
     """
 
-    def __init__(self, lang: str, length: int, frequent: np.ndarray | None, hot: Hot | None = None) -> None:
-        self.lang, self.length, self.frequent = lang, length, frequent
+    def __init__(self, lang: str, length: int, frequent: np.ndarray | None, hot: Hot | None = None, ends: bool = True) -> None:
+        self.lang, self.length, self.frequent, self.ends = lang, length, frequent, ends
         self.hot = hot or Hot([], [], 1)
         self._start()
 
@@ -129,6 +130,8 @@ class Stripes:
             starts = starts[may[starts]]
             # The texts end with a break, so starts + length is a place.
             after = np.where(may[starts + 1], placed[starts + length], 0)
+            if not self.ends:
+                starts, after = starts[after != 0], after[after != 0]
             parts = self.hot.parts_of(prefixes[starts])
         else:
             starts = np.flatnonzero(placed)

@@ -9,6 +9,7 @@ import pytest
 from conftest import REPEATED, ROWS
 
 from outlay.llm import word_stripes
+from outlay.llm.bit_filter import BITS
 from outlay.llm.collocations import collocations
 from outlay.llm.word_stripes import Stripes, tokens
 
@@ -90,3 +91,19 @@ def test_stripes_add_up():
             found[row["prefix"]].update(zip(row["next"], row["n"]))
     assert found == {"a": {"b": 3, "": 1}, "b": {"a": 2, "c": 1, "": 1}, "c": {"": 1}}
     assert list(stripes.flush()) == []
+
+
+def test_stripes_without_ends_hold_only_words_that_may_be_frequent():
+    bigrams = [word_stripes.gram_hashes(np.array([word_stripes.word_hash(w, "en") for w in pair], np.uint64), 2)[0] for pair in ((b"a", b"b"), (b"b", b"c"))]
+    field = np.zeros(BITS // 8, dtype=np.uint8)
+    for value in bigrams:
+        bit = int(value) % BITS
+        field[bit >> 3] |= 1 << (bit & 7)
+    found = {}
+    for ends in (True, False):
+        stripes = Stripes("en", 2, field, ends=ends)
+        for text in ("a b c a b. b c", "a b x", "b c b c"):
+            stripes.add(text)
+        found[ends] = {row["prefix"]: dict(zip(row["next"], row["n"])) for batch in stripes.flush() for row in batch.to_pylist()}
+    assert found[True] == {"a b": {"c": 1, "": 2}, "b c": {"": 4}}
+    assert found[False] == {"a b": {"c": 1}}
