@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from outlay.llm import quality_crf
 from outlay.llm.byte_bpe_frames import round_trip
-from outlay.llm.common import WorkTables, read_table
+from outlay.llm.common import WorkTables, in_small_batches, read_table
 from outlay.llm.decontamination import drop_contaminated
 from outlay.llm.exact_dedup import drop_exact_duplicates
 from outlay.llm.minhash_dedup import drop_near_duplicates
@@ -14,6 +14,7 @@ from outlay.llm.minhash_dedup import drop_near_duplicates
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier does not reject."""
+    in_small_batches(spark)
     return quality_crf.drop_rejected(docs, quality_crf.train(docs, read_table(spark, sf_dir, "labels")))
 
 
@@ -24,6 +25,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates."""
+    in_small_batches(spark)
     return drop_near_duplicates(docs)
 
 
@@ -34,6 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the text decoded from its token ids, the ids and their number."""
+    in_small_batches(spark)
     return round_trip(docs)
 
 

@@ -129,8 +129,11 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _IdsAndBytes(ByteBpe(shared.value, pattern, STAGE_REMEMBERED))
         gc.disable()  # what is remembered holds no cycles
-        for batch in batches:
-            for part in _slices(batch, "text"):
-                yield coded(part, pieces)
+        try:
+            for batch in batches:
+                for part in _slices(batch, "text"):
+                    yield coded(part, pieces)
+        finally:
+            gc.enable()  # the worker goes on to tasks of other stages
 
     return kept.mapInArrow(run, schema)

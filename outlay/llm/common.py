@@ -9,12 +9,23 @@ from outlay.session import new_work_path
 
 #: White space of the word definition, as a fixed value: space and U+0009 to U+000D.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """From now on rows of this session go to Python workers in batches of ``BATCH_BYTES``, a longer row alone.
+
+    Spark's own bound is 64 MB, which an executor holds once for each task and
+    each of its Python workers once more.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only ``doc_id`` and ``text`` (null: empty), so other columns cannot clash."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +26,12 @@ def smallest_hashes(ids: DataFrame, by: str, per_value: int) -> DataFrame:
     """
     counts = ids.groupBy(by).agg(F.approx_count_distinct("doc_id").alias("n")).collect()
     # Four times the sample pass in the mean; that fewer than the sample do is out of the question.
-    bounds = [(row[by], min(2**64 * _AMPLE * per_value // max(row["n"], 1), 2**64 - 1) - 2**63) for row in counts]
-    named = ids.sparkSession.createDataFrame(bounds, T.StructType([ids.schema[by], T.StructField("_bound", T.LongType())]))
+    bounds = [min(2**64 * _AMPLE * per_value // max(row["n"], 1), 2**64 - 1) - 2**63 for row in counts]
+    # An Arrow table goes to the JVM as it is; a list would start further Python workers on each executor.
+    named = ids.sparkSession.createDataFrame(
+        pa.table({by: [row[by] for row in counts], "_bound": pa.array(bounds, pa.int64())}),
+        T.StructType([ids.schema[by], T.StructField("_bound", T.LongType())]),
+    )
     # One number for each value: classes or languages, which are few.
     below = ids.join(F.broadcast(named), by).where(F.xxhash64("doc_id") <= F.col("_bound")).drop("_bound").distinct()
     order = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id")
