@@ -114,6 +114,21 @@ def test_snapshot_files_do_not_multiply_by_tasks(spark, folder):
     assert len(glob.glob(f"{path}/load=*/ano_snapshot=*/*.parquet")) <= 6
 
 
+def test_a_large_snapshot_does_not_move(spark, folder, monkeypatch):
+    """Where the tasks' own files are large enough they stay as they are."""
+    rows = documents(spark, [amendment(str(n), ano=(2020 + n % 3) if n % 5 else None) for n in range(60)]).repartition(4)
+    raw.load_snapshot(rows, f"{folder}/together", T1)
+    monkeypatch.setattr(raw, "SMALL_FILE_BYTES", 1)
+    report = raw.load_snapshot(rows, f"{folder}/own", T1)
+    assert (report.inserted, report.undated) == (60, 12)
+    own, together = (glob.glob(f"{folder}/{name}/load=*/ano_snapshot=*/*.parquet") for name in ("own", "together"))
+    assert len(own) > 8 and len(together) <= 4
+    # What was put together is there once.
+    assert all(len(glob.glob(f"{folder}/{name}/load=*")) == 1 for name in ("own", "together"))
+    found = [sorted(raw.read_raw_amendments(spark, f"{folder}/{name}").collect(), key=str) for name in ("own", "together")]
+    assert found[0] == found[1] and len(found[0]) == 60
+
+
 def test_reading_what_was_never_loaded_fails(spark, folder):
     with pytest.raises(FileNotFoundError, match="load an extract first"):
         raw.read_raw_amendments(spark, f"{folder}/none")

@@ -104,3 +104,24 @@ def test_loads_and_landings_are_compressed(spark, folder):
         path = write_landing(rows, f"{folder}/landing", "2026-07-07", "gzip")
         assert ingest_records(spark, path).count() == found
         assert any(name.endswith(".gz") for name in os.listdir(path)) and ("no-records.txt" in os.listdir(path)) == (not found)
+
+
+def exchanges(rows):
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def test_versions_move_once_and_a_frequent_key_one_row_a_task(spark, folder):
+    log = raw.agreements_log(spark, f"{folder}/raw")
+    rows = [agreement(i % 40, valor=float(i)) for i in range(80)] + [agreement(None, valor=float(i)) for i in range(9)]
+    raw.load_window(documents(spark, rows), log.path, *WINDOWS[0], "2026-07-10 06:00:00")
+    typed = newest.typed(raw.read_raw(log))
+    counts = newest._rows_by_bucket(typed, 2)
+    assert sum(counts.values()) == 89
+    even, hot = newest._placed(typed, 2, counts), newest._placed(typed, 9, {1: 90})
+    assert exchanges(even)[0] == 1 and exchanges(hot)[0] == 2
+    # Of a frequent key the tasks send one row each: the limit stands below the exchange by key.
+    plan = exchanges(hot)[1]
+    assert plan.index("Exchange hashpartitioning(id_convenio") < plan.rindex("WindowGroupLimit")
+    for found in (even, hot):
+        assert sorted(found.drop(newest.BUCKET).collect(), key=str) == full(log)

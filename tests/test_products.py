@@ -319,6 +319,13 @@ def test_a_rollup_query_reads_the_rows_of_one_level(spark, star, folder):
     assert plan.count("FileScan") == 1 and "(nivel" in plan.split("PartitionFilters")[1] and "PushedFilters: [IsNotNull(nome_regiao)" in plan
 
 
+def test_agencies_and_months_move_together(spark, star):
+    """One sum per place and one grouping of names for both: they would be two of each."""
+    cube = rollup.scope_rollup(star["fct_convenios"], star["dim_orgao_superior"], star["dim_municipio"])
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(sk_municipio") <= 4 and plan.count("Expand [") == 2
+
+
 def test_the_rollup_of_nothing_answers(spark, star):
     nothing = rollup.scope_rollup(star["fct_convenios"].limit(0), star["dim_orgao_superior"], star["dim_municipio"])
     assert tuple(rollup.rollup_kpis(nothing).first()) == (None, None, 0, 0)
